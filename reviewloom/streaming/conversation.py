@@ -61,6 +61,8 @@ def conversation_state(
         F.lower(TEXT).isin(*exit_words).alias("is_exit"),
     )
 
+    names = T.StructType.fromDDL(OUT).fieldNames()
+
     def advance(
         key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
@@ -82,7 +84,7 @@ def conversation_state(
         state.update((last, bool(ended), bool(answered), users, bots))
         state.setTimeoutDuration(idle_ms)
         if rows:
-            yield pd.DataFrame(rows, columns=T.StructType.fromDDL(OUT).fieldNames())
+            yield pd.DataFrame(rows, columns=names)
 
     return ready.groupBy(CONV).applyInPandasWithState(
         advance, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
