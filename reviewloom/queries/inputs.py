@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewloom.sources.tables import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -73,6 +75,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over all cores for text work."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def load(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """An input text run by Spark over views of the tables it names."""
     names = {t: f"input_{t}" for t in TABLES if "{" + t + "}" in text}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.operators import vectors
-from reviewloom.queries.inputs import DOCUMENT_REVIEWS, load, sql, table
+from reviewloom.queries.inputs import DOCUMENT_REVIEWS, documents, load, sql, table
 from reviewloom.queries.texts import tokens_sql
 from reviewloom.sources.collections import Collection, Spec, coerce
 
@@ -83,15 +83,15 @@ APPROX = f"""WITH pivots AS (SELECT vec_id AS pid, embedding FROM embeddings
 
 
 def _embed(spark, sf) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, sf).select("doc_id", "lang", "text")
     made = vectors.embed(docs, ["lang", "text"])
-    return made.select("doc_id", F.posexplode("embedding").alias("bucket", "w")).filter("w > 0").select(
+    return made.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "w")).filter("w > 0").select(
         "doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("w").cast("double"), 6).alias("weight")
     )
 
 
 def _near_text(spark, sf) -> DataFrame:
-    docs = vectors.embed(table(spark, sf, "documents").select("doc_id", "text"), ["text"])
+    docs = vectors.embed(documents(spark, sf).select("doc_id", "text"), ["text"])
     asked = table(spark, sf, "benchmark")
     return _rounded(vectors.near_text(asked, docs, 5, "item_id", "text", "doc_id"))
 

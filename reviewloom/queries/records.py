@@ -10,6 +10,7 @@ from reviewloom.operators import schema
 from reviewloom.queries.inputs import RECORDS, REVIEWS, load, sql, table
 from reviewloom.session import new_path
 from reviewloom.sources import lines, tables
+from reviewloom.sources.tables import spread
 
 # event attributes as raw lines, some damaged, blank, padded or repeating a key
 LINES = """
@@ -35,7 +36,7 @@ TYPE_RULE = """CASE WHEN contains(lower({0}), 'id') THEN 'string'
 
 
 def _keys(spark, sf) -> DataFrame:
-    return schema.discover_keys(load(spark, sf, RECORDS))
+    return schema.discover_keys(spread(load(spark, sf, RECORDS)))
 
 
 def _split(spark, sf) -> DataFrame:
@@ -90,7 +91,7 @@ def _saved_schema(spark, sf) -> DataFrame:
 
 def _generated(spark, sf) -> DataFrame:
     """Records read back with the schema generated from their own keys."""
-    records = load(spark, sf, RECORDS)
+    records = spread(load(spark, sf, RECORDS))
     made = schema.to_struct(schema.from_keys(schema.discover_keys(records), overrides={"dates": "string"}))
     flat = T.StructType([f if f.name != "dates" else T.StructField("dates", T.StringType()) for f in made])
     read = records.select(F.from_json("value", flat).alias("r"))

@@ -14,6 +14,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when a scan yields fewer partitions than there are cores.
+
+    Small tables come as one file and would keep one core busy with heavy text work. A scan that
+    already has enough partitions is returned as it is, so a large table is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table_files(df: DataFrame) -> DataFrame:
     """Files behind a scanned table with their row counts."""
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(

@@ -40,16 +40,20 @@ def conversation_state(
     exit_words: tuple[str, ...] = K.EXIT_WORDS,
     keep: int = 10,
     show: int = 5,
+    time: str | None = None,
     idle: str = "1 hour",
 ) -> DataFrame:
     """One row per live turn with the state after it.
 
     ``bot`` is the answer text of a turn, ``full`` whether it is a full generic answer. Parsing is
     done before the shuffle; the state of a conversation is its last id, two flags and at most
-    ``keep`` turns. Turns of a micro-batch are taken in ``turn`` order. A conversation without
-    turns for ``idle`` (processing time) is forgotten.
+    ``keep`` turns. Turns of a micro-batch are taken in ``turn`` order. With ``time``, a timestamp
+    column, a conversation is forgotten once the stream is ``idle`` past its last turn, and turns
+    that come later than that are dropped; without it, states are kept.
     """
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    if time:
+        turns = turns.withWatermark(time, idle)
     ready = parse_turns(turns, marker).select(
         F.col(CONV).cast("bigint").alias(CONV),
         F.col(TURN).cast("bigint").alias(TURN),
@@ -59,6 +63,7 @@ def conversation_state(
         bot.alias("bot"),
         F.coalesce(full, F.lit(False)).alias("full"),
         F.lower(TEXT).isin(*exit_words).alias("is_exit"),
+        *([F.col(time).alias("at")] if time else []),
     )
 
     names = T.StructType.fromDDL(OUT).fieldNames()
@@ -71,7 +76,8 @@ def conversation_state(
             return
         last, ended, answered, users, bots = state.get if state.exists else ("", False, False, [], [])
         users, bots, rows = list(users), list(bots), []
-        for t in pd.concat(list(chunks)).sort_values("turn").itertuples():
+        batch = pd.concat(list(chunks)).sort_values("turn")
+        for t in batch.itertuples():
             ended = ended or t.is_exit
             if ended:
                 break
@@ -82,13 +88,14 @@ def conversation_state(
             rows.append((key[0], t.turn, t.query, last or None, bool(answered), shown))
             answered = answered or t.full
         state.update((last, bool(ended), bool(answered), users, bots))
-        state.setTimeoutDuration(idle_ms)
+        if time:
+            latest = int(batch["at"].max().timestamp() * 1000)
+            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + idle_ms)
         if rows:
             yield pd.DataFrame(rows, columns=names)
 
-    return ready.groupBy(CONV).applyInPandasWithState(
-        advance, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    timeout = GroupStateTimeout.EventTimeTimeout if time else GroupStateTimeout.NoTimeout
+    return ready.groupBy(CONV).applyInPandasWithState(advance, OUT, STATE, "append", timeout)
 
 
 def write_turns(states: DataFrame, path: str, checkpoint: str):
