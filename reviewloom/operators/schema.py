@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewloom.session import materialize
+
 MAX_FIELDS = 20_000
 MAX_NESTING = 200
 
@@ -35,13 +37,14 @@ def nesting(text: Column) -> Column:
 def discover_keys(df: DataFrame, col: str = "value") -> DataFrame:
     """``(path, key)``: every key path of every record; list items share the list's path.
 
-    A first pass finds how deep the records nest. The second opens one level per step in a single
-    narrow chain, and only paths that end in a value are kept: their prefixes are all the keys.
-    Paths are lists, so a key holding a dot stays one part; ``key`` joins the parts with dots.
-    Records that are not JSON contribute nothing.
+    Records of one shape have the same keys, so one record per shape is opened (see
+    ``one_per_shape``). How deep those nest is found first; then one level is opened per step, in a
+    single narrow chain, and only paths that end in a value are kept: their prefixes are all the
+    keys. Paths are lists, so a key holding a dot stays one part; ``key`` joins the parts with
+    dots. Records that are not JSON contribute nothing.
     """
     accept_repeated_keys(df.sparkSession)
-    text = df.select(F.col(col).alias("v"))
+    text = materialize(one_per_shape(df.select(F.col(col).alias("v"))), "shapes")
     depth = text.agg(F.max(nesting(F.col("v")))).first()[0] or 0
     if depth > MAX_NESTING:
         raise ValueError(f"records nest {depth} levels deep; at most {MAX_NESTING} are opened")
@@ -66,6 +69,23 @@ def discover_keys(df: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
+def one_per_shape(text: DataFrame) -> DataFrame:
+    """Records ``v`` such that every shape found in ``text`` keeps at least one record.
+
+    The first pass hashes: per shape the smallest hash of a record, pre-aggregated, so no record
+    text is shuffled. The second keeps records whose hash was chosen. A shape with a list of mixed
+    items does not tell the keys inside, so each such record counts as a shape of its own.
+    """
+    h = F.xxhash64("v")
+    shape = F.schema_of_variant(F.try_parse_json("v"))
+    shaped = text.select(h.alias("h"), shape.alias("shape"))
+    own = F.when(F.col("shape").contains("VARIANT"), F.col("h")).otherwise(0)
+    chosen = (
+        shaped.groupBy("shape", own.alias("own")).agg(F.min("h").alias("h")).select("h").distinct()
+    )
+    return text.withColumn("h", h).join(chosen, "h", "left_semi").select("v")
+
+
 def _children() -> Column:
     """Entries of an object, items of a list, or the path alone when there is nothing below."""
     nothing = F.lit(None).cast("variant")

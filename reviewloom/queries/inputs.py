@@ -41,7 +41,9 @@ SELECT o_orderkey AS id,
        concat('{"id":', CAST(o_orderkey AS STRING), ',"buyer":{"custkey":',
               CAST(o_custkey AS STRING), ',"priority":"', o_orderpriority, '"},"dates":[{"orderdate":"',
               CAST(CAST(o_orderdate AS DATE) AS STRING), '"},',
-              CASE WHEN o_orderkey % 10 = 0 THEN '{"deep":[[{"x.y":1},[]]],"none":{}}' ELSE '3' END,
+              CASE WHEN o_orderkey % 10 = 0 THEN '{"deep":[[{"x.y":1}]],"none":{}}'
+                   WHEN o_orderkey % 100 = 1 THEN '[3,{"mixed":[null,{"m":true}]}]'
+                   ELSE '{"orderdate":""}' END,
               '],"verified":', CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END,
               ',"overall":1.5}') AS value
 FROM {orders}
