@@ -28,7 +28,7 @@ SELECT event_id,
                         CASE WHEN event_id % 3 = 0
                              THEN concat(',"Format.Kind:":{"k":', CAST(event_id % 5 AS STRING), '}')
                              ELSE '' END,
-                        CASE WHEN event_id % 1000 = 0 THEN ',"Rare:":"x","Never:":null' ELSE '' END,
+                        CASE WHEN event_id % 500 = 0 THEN ',"Rare:":"x","Never:":null' ELSE '' END,
                         '}') END AS style,
        CAST(NULL AS STRING) AS style_dup1,
        CAST(NULL AS STRING) AS style_dup2
