@@ -86,7 +86,8 @@ def load(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """An input text run by Spark over views of the tables it names."""
     names = {t: f"input_{t}" for t in TABLES if "{" + t + "}" in text}
     for t, view in names.items():
-        table(spark, sf_dir, t).createOrReplaceTempView(view)
+        df = documents(spark, sf_dir) if t == "documents" else table(spark, sf_dir, t)
+        df.createOrReplaceTempView(view)
     return spark.sql(_fill(text, names).replace('"reviewerID"', "reviewerID"))
 
 

@@ -19,6 +19,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     Small tables come as one file and would keep one core busy with heavy text work. A scan that
     already has enough partitions is returned as it is, so a large table is never shuffled here.
+    For scans and narrow steps over them only: asking for partitions would run a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
