@@ -82,11 +82,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
-def load(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """An input text run by Spark over views of the tables it names."""
+def load(
+    spark: SparkSession, sf_dir: str, text: str, given: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """An input text run by Spark over views of the tables it names, or of ``given`` frames."""
     names = {t: f"input_{t}" for t in TABLES if "{" + t + "}" in text}
     for t, view in names.items():
-        df = documents(spark, sf_dir) if t == "documents" else table(spark, sf_dir, t)
+        if given and t in given:
+            df = given[t]
+        else:
+            df = documents(spark, sf_dir) if t == "documents" else table(spark, sf_dir, t)
         df.createOrReplaceTempView(view)
     return spark.sql(_fill(text, names).replace('"reviewerID"', "reviewerID"))
 

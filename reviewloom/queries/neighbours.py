@@ -131,7 +131,12 @@ def _objects(spark, sf) -> DataFrame:
 
 def _coerced(spark, sf) -> DataFrame:
     return coerce(_objects(spark, sf), SPEC).select(
-        "vec_id", "overall", "verified", "unixReviewTime", "note", F.size("embedding").cast("bigint").alias("dim")
+        "vec_id",
+        "overall",
+        F.col("verified").cast("string").alias("verified"),
+        "unixReviewTime",
+        "note",
+        F.size("embedding").cast("bigint").alias("dim"),
     )
 
 
@@ -178,7 +183,7 @@ QUERIES = {
     "collection_objects": (
         _coerced,
         """SELECT vec_id::VARCHAR AS vec_id, CASE WHEN label <> 0 THEN label::DOUBLE END AS overall,
-           CASE vec_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS verified,
+           CASE vec_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS verified,
            vec_id * 1000 AS "unixReviewTime", label::VARCHAR AS note, len(embedding) AS dim FROM embeddings""",
     ),
     "collection_load_and_count": (

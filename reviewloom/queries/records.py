@@ -57,7 +57,7 @@ def _scan(spark, sf) -> DataFrame:
     cut = F.when(F.col("event_id") % 7 == 0, F.left(body, F.length(body) - 1)).otherwise(body)
     load(spark, sf, REVIEWS).select(cut.alias("value")).write.text(path)
     return lines.read_json(spark, path, SCAN_SCHEMA).select(
-        F.when(F.col(lines.CORRUPT).isNull(), F.col("event_id")).alias("event_id"),
+        F.when(F.col(lines.CORRUPT).isNull(), F.col("event_id").cast("string")).alias("event_id"),
         F.when(F.col(lines.CORRUPT).isNull(), F.col("asin")).alias("asin"),
         F.when(F.col(lines.CORRUPT).isNull(), F.col("style")).alias("style"),
         F.when(F.col(lines.CORRUPT).isNull(), F.col("day")).alias("day"),
@@ -106,7 +106,7 @@ QUERIES = {
     ),
     "json_scan_with_schema": (
         _scan,
-        f"""SELECT CASE WHEN event_id % 7 <> 0 THEN event_id END AS event_id,
+        f"""SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
             CASE WHEN event_id % 7 <> 0 THEN asin END AS asin,
             CASE WHEN event_id % 7 <> 0 THEN '{{"n":[1]}}' END AS style,
             CASE WHEN event_id % 7 <> 0 THEN day END AS day,
