@@ -69,6 +69,16 @@ def test_approximate_recall_grows_to_one(points):
     assert recall(8) == 1.0 and 0.5 < recall(3) <= 1.0
 
 
+def test_one_index_serves_many_searches(points):
+    rows, df = points
+    made = vectors.index(df, DIM, "id", pivots=8)
+    want = brute(rows, 3)
+    for size in (0, vectors.BROADCAST_BYTES):
+        got = vectors.knn(df, made, 3, DIM, "id", broadcast_bytes=size)
+        assert {(r.qid, r.id, r["rank"]) for r in got.collect()} == want
+    assert vectors.knn_approx(df, made, 3, DIM, 8, "id").count() == len(want)
+
+
 def test_embed(spark):
     df = spark.createDataFrame([(1, "a b a", "c"), (2, None, None), (3, "...", "")], "id int, x string, y string")
     made = vectors.embed(df, ["x", "y"], dim=16).orderBy("id").collect()
