@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import byte_pairs, packing, token_counts, token_files
+from reviewloom.llm import byte_pairs, language, licenses, near_vectors, ngram_join, packing, permutation_index
+from reviewloom.llm import quality, token_counts, token_files
 from reviewloom.session import new_path
 
 
@@ -51,9 +52,96 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined(labels) -> Column:
+    return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("detections", lambda d: d["base"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda d: d["start"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda d: d["start"])).alias("last_word"),
+        _joined(F.transform(base, lambda d: d["label"])).alias("base_labels"),
+        _joined(F.transform("detections", lambda d: d["label"])).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def fold(n: int) -> Column:
+    """Which of n folds a document falls in; null for a document without an id."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.fit(docs, labels, fold(5) != 0)
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return quality.score(docs, quality_model(spark, docs, sf_dir)).select(
+        "doc_id",
+        F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def language_model(docs: DataFrame) -> dict:
+    return language.fit(docs, fold(4) != 2)
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs.select("doc_id", "text"), language_model(docs)).select(
+        "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return permutation_index.nearest_by_inner_product(vectors, F.col("vec_id") % 20 == 0)
+
+
+def near_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE unit AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+        ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), class AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+number AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM class LEFT JOIN number USING (vec_id)
+"""
+
+
+def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir)).drop("text_key")
+
+
 QUERIES = {
     "op1_byte_pairs": (byte_pair_round_trip, None),
     "op2_token_counts": (token_count, None),
+    "op3_permutation_index": (nearest, None),
+    "op4_license_scan": (license_scan, None),
+    "op5_quality": (quality_scores, None),
+    "op6_near_vectors": (near_vector_links, NEAR_VECTORS_SQL),
     "op7_token_files": (token_file_round_trip, None),
+    "op8_language": (languages, None),
+    "op9_ngram_join": (near_documents, None),
     "op10_best_fit_packing": (packed_documents, None),
 }
