@@ -49,7 +49,7 @@ def fit(
     numbers = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     langs = sorted(r["lang"] for r in numbers)
     if not langs:
-        return {"langs": [], "items": {}, "logs": np.zeros((1, 0), np.float32)}
+        return {"langs": [], "items": {k: {} for k in range(LONGEST + 1)}, "logs": np.zeros((1, 0), np.float32)}
     # the share of each language's rows that gives about the number wanted
     share = F.create_map(*[F.lit(x) for r in numbers for x in (r["lang"], min(1.0, rows / r["count"]))])
     # a double made of the hash, so that equal keys fall on the same side everywhere
