@@ -16,14 +16,16 @@ def _class(kind: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == kind)
 
 
-#: Characters that no normalisation changes but for their case, one to one.
-PLAIN = re.compile("[!-~\xa1-įı-˿]+")
+#: Characters that normalisation may change by more than their case, one to one.
+UNUSUAL = re.compile("[^\x00-\u012f\u0131-\u02ff]")
 #: Control characters that split() takes for white space and the tokenizer does not.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
-#: Entries of each cache, and characters of text split at once: bounds of a worker's memory.
+#: Entries of the cache, and characters of text split at once: bounds of a worker's memory.
 CACHED, TOGETHER = 500_000, 3_000_000
+#: Characters of a word that is merged here; the library's queue is better for longer ones.
+LONGEST = 256
 
 
 def _shown_bytes() -> dict[str, int]:
@@ -37,8 +39,9 @@ class WordPieces:
     """Ids as the tokenizers library gives them with ``add_special_tokens=False``.
 
     The tokenizer drops white space and never looks across it, so a text is split there and each
-    part's ids come from a cache. Parts of plain characters are split and merged here; a text with
-    any other character, or with what may be an added token, goes to the library as a whole.
+    part's ids come from a cache; the parts that are new in some megabytes of text are merged
+    together. A text with an unusual character, or with what may be an added token, goes to the
+    library as a whole.
     """
 
     def __init__(self, content: str):
@@ -55,28 +58,23 @@ class WordPieces:
         self.find = re.compile(
             f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+"
         ).findall
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes | None] = {}
+        self.ids: dict[str, bytes] = {}
 
     def _learn(self, parts: set[str]) -> None:
-        """Adds the ids of new parts, and of their words, to the caches; both start anew when full."""
-        if len(self.parts) > CACHED:
-            self.parts = {}
-        new = parts - self.parts.keys()
-        split = {}
-        for part in new:
-            low = part.lower()
-            if not PLAIN.fullmatch(low):
-                self.parts[part] = None
-            else:
-                split[part] = [low] if low.isalpha() else self.find(low)
-        words = {w for ws in split.values() for w in ws}
-        if len(self.words) > CACHED:
-            self.words = {}
-        words = list(words - self.words.keys())
-        self.words.update(zip(words, self.pairs.merge([w.encode() for w in words])))
-        for part, ws in split.items():
-            self.parts[part] = b"".join(map(self.words.__getitem__, ws))
+        """Adds the ids of new parts, and of the words in them, to the cache; it starts anew when full."""
+        if len(self.ids) > CACHED:
+            self.ids = {}
+        mixed = {p: self.find(p) for p in parts - self.ids.keys() if not p.isalpha()}
+        words = parts - mixed.keys()
+        words.update(*mixed.values())
+        words = words - self.ids.keys()
+        for word in [w for w in words if len(w) > LONGEST]:
+            words.remove(word)
+            self.ids[word] = self._library(word)
+        words = list(words)
+        self.ids.update(zip(words, self.pairs.merge([w.encode() for w in words])))
+        get = self.ids.__getitem__
+        self.ids.update([(p, b"".join(map(get, ws))) for p, ws in mixed.items()])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text counts as empty."""
@@ -90,19 +88,25 @@ class WordPieces:
         return out + self._encode(group)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [
-            None if "<|" in t or any(s in t for s in SEPARATORS) else t.split() for t in texts
-        ]
+        split = [t.lower().split() if self._plain(t) else None for t in texts]
         self._learn(set().union(*[s for s in split if s]))
-        get, out = self.parts.__getitem__, []
+        get, out = self.ids.__getitem__, []
         for text, parts in zip(texts, split):
-            try:
+            if parts is None:
+                out.append(self._library(text))
+            else:
                 out.append(b"".join(map(get, parts)))
-            except TypeError:  # not to be split, or a part that is not plain
-                ids = self.library.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, "<u4").tobytes())
         return out
 
+    def _library(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        if "<|" in text or any(s in text for s in SEPARATORS):
+            return False
+        return text.isascii() or not UNUSUAL.search(text)
+
 
 class PairTable:
     """Merges of pairs of symbols, done for many words at once: one merge a word and round."""
@@ -126,10 +130,11 @@ class PairTable:
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word: always the pair of the lowest rank, the leftmost of equal ones."""
         out: list[bytes] = [b""] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for n, at in by_length.items():
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        bounds = np.searchsorted(lengths[order], np.unique(lengths))
+        for at in np.split(order, bounds[1:]) if len(words) else []:
+            at, n = at.tolist(), len(words[at[0]])
             raw = np.frombuffer(b"".join([words[i] for i in at]), np.uint8).reshape(-1, n)
             ids = np.full((len(at), n + 1), -1, np.int64)
             ids[:, : n - 1] = self.inner[raw[:, :-1]]
@@ -141,10 +146,11 @@ class PairTable:
                 lowest = ranks[np.arange(len(rows)), first]
                 done = lowest == self.none
                 if done.any():
-                    kept = ids[done].astype("<u4")
-                    lengths = (ids[done] >= 0).sum(1)
-                    for r, row, k in zip(rows[done], kept, lengths):
-                        out[at[r]] = row[:k].tobytes()
+                    kept = ids[done].astype("<u4").tobytes()
+                    step = 4 * (n + 1)
+                    ends = np.arange(0, len(kept), step) + 4 * (ids[done] >= 0).sum(1)
+                    for r, x, y in zip(rows[done].tolist(), range(0, len(kept), step), ends.tolist()):
+                        out[at[r]] = kept[x:y]
                     rows, ids, ranks = rows[~done], ids[~done], ranks[~done]
                     first, lowest = first[~done], lowest[~done]
                     if not len(rows):
