@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from reviewloom.functions.names import columns, match_columns, quoted
 
-MAX_COLUMNS = 5000
+AT_ONCE = 1000  # columns counted in one pass
+LONG = 64  # characters from which a text key is compared by its hash
 
 
 def present(c: Column) -> Column:
@@ -52,10 +53,19 @@ def all_null_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     return population(df, cols).filter("non_null = 0").select("column")
 
 
+def short(df: DataFrame, name: str) -> Column:
+    """A column to group by: long texts are replaced by their SHA-256, so none is shuffled."""
+    c = F.col(quoted(name))
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return c.alias(name)
+    hashed = F.concat(F.lit("\0sha256 "), F.sha2(c, 256))
+    return F.when(F.length(c) > LONG, hashed).otherwise(c).alias(name)
+
+
 def row_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     """``(n_rows, n_distinct)`` over ``keys``. Groups are pre-aggregated before the shuffle."""
     return (
-        df.groupBy(*columns(keys))
+        df.groupBy(*[short(df, k) for k in keys])
         .agg(F.count("*").alias("n"))
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_distinct"))
     )
@@ -83,12 +93,15 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None) -> Da
 
     Null keys form a group of their own. The window keeps one row per key in every input
     partition before the shuffle, so a key that holds a large share of all rows does not pile up.
+    Long text keys are shuffled, sorted and compared by their hash.
     """
-    if order is None:
-        return df.dropDuplicates(keys)
-    first = Window.partitionBy(*columns(keys)).orderBy(*columns(order))
+    names = [f"_key{i}" for i in range(len(keys))]
+    keyed = df.select("*", *[short(df, k).alias(n) for k, n in zip(keys, names, strict=True)])
+    first = Window.partitionBy(*names).orderBy(*columns(order or keys))
     return (
-        df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+        keyed.withColumn("_rank", F.row_number().over(first))
+        .filter("_rank = 1")
+        .drop("_rank", *names)
     )
 
 
@@ -114,14 +127,16 @@ def drop_columns(
 def prune_sparse(df: DataFrame, prefix: str, min_non_null: int = 10_000) -> DataFrame:
     """Drop columns of a prefix with fewer than ``min_non_null`` values.
 
-    Other columns come first, the kept ones after them. One aggregate row reaches the driver.
+    Other columns come first, the kept ones after them. One aggregate row for every ``AT_ONCE``
+    columns reaches the driver.
     """
     cols = match_columns(df, prefix=prefix)
     others = match_columns(df, prefix=prefix, negate=True)
     if not cols:
         return df
-    if len(cols) > MAX_COLUMNS:
-        raise ValueError(f"{len(cols)} columns; use the long form of the attributes instead")
-    counts = df.agg(*[F.count(F.col(quoted(c))).alias(c) for c in cols]).first()
-    kept = [c for c in cols if counts[c] >= min_non_null]
+    kept = []
+    for i in range(0, len(cols), AT_ONCE):
+        some = cols[i : i + AT_ONCE]
+        counts = df.agg(*[F.count(F.col(quoted(c))).alias(c) for c in some]).first()
+        kept += [c for c in some if counts[c] >= min_non_null]
     return df.select(*columns(others + kept))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,8 +13,7 @@ from pyspark.sql import types as T
 
 from reviewloom.session import materialize
 
-MAX_FIELDS = 20_000
-MAX_NESTING = 200
+LEVELS = 8  # levels opened in one plan
 
 
 def accept_repeated_keys(spark: SparkSession) -> None:
@@ -21,43 +21,35 @@ def accept_repeated_keys(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-def nesting(text: Column) -> Column:
-    """How deeply objects and lists nest in a JSON text; strings are taken out first."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"\\.", ""), r'"[^"]*"', "")
-    marks = F.regexp_replace(F.translate(bare, "[]", "{}"), "[^{}]", "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
-
-    def step(acc: Column, mark: Column) -> Column:
-        now = acc["now"] + F.when(mark == "{", 1).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(acc["top"], now).alias("top"))
-
-    return F.aggregate(F.split(marks, ""), start, step, lambda acc: acc["top"])
-
-
 def discover_keys(df: DataFrame, col: str = "value") -> DataFrame:
     """``(path, key)``: every key path of every record; list items share the list's path.
 
     Records of one shape have the same keys, so one record per shape is opened (see
-    ``one_per_shape``). How deep those nest is found first; then one level is opened per step, in a
-    single narrow chain, and only paths that end in a value are kept: their prefixes are all the
-    keys. Paths are lists, so a key holding a dot stays one part; ``key`` joins the parts with
-    dots. Records that are not JSON contribute nothing.
+    ``one_per_shape``). Every few levels the paths are written, those that end are put aside and
+    the others are opened further, until none is left, so records may nest as deeply as the JSON
+    parser allows. Only paths that end in a value are kept: their prefixes are all the keys. Paths
+    are lists, so a key holding a dot stays one part; ``key`` joins the parts with dots. Records
+    that are not JSON contribute nothing.
     """
     accept_repeated_keys(df.sparkSession)
-    text = materialize(one_per_shape(df.select(F.col(col).alias("v"))), "shapes")
-    depth = text.agg(F.max(nesting(F.col("v")))).first()[0] or 0
-    if depth > MAX_NESTING:
-        raise ValueError(f"records nest {depth} levels deep; at most {MAX_NESTING} are opened")
+    text = one_per_shape(df.select(F.col(col).alias("v")))
     open_paths = text.select(
         F.array().cast("array<string>").alias("path"), F.try_parse_json("v").alias("v")
     )
-    for _ in range(depth):
-        open_paths = open_paths.select(
-            "path",
-            F.try_variant_get("v", "$", "map<string,variant>").alias("m"),
-            F.try_variant_get("v", "$", "array<variant>").alias("a"),
-        ).select(F.explode(_children()).alias("c")).select("c.path", "c.v")
-    ends = open_paths.select("path").distinct()
+    ended: list[DataFrame] = []
+    while True:
+        for _ in range(LEVELS):
+            open_paths = open_paths.select(
+                "path",
+                F.try_variant_get("v", "$", "map<string,variant>").alias("m"),
+                F.try_variant_get("v", "$", "array<variant>").alias("a"),
+            ).select(F.explode(_children()).alias("c")).select("c.path", "c.v")
+        opened = materialize(open_paths, "paths")
+        ended.append(opened.filter("v is null").select("path").distinct())
+        open_paths = opened.filter("v is not null")
+        if open_paths.isEmpty():
+            break
+    ends = reduce(DataFrame.union, ended).distinct()
     prefixes = F.transform(
         F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", 1, n)
     )
@@ -112,20 +104,8 @@ def key_tree(keys: DataFrame) -> DataFrame:
     ).orderBy("path").drop("path")
 
 
-def type_for_key(key: str, overrides: Mapping[str, str] | None = None) -> str:
-    """Type by key name; the first rule that fits wins. Overrides go by exact name."""
-    low = key.lower()
-    if overrides and key in overrides:
-        return overrides[key]
-    if "id" in low:
-        return "string"
-    if "time" in low or "date" in low:
-        return "bigint"
-    return {"verified": "boolean", "overall": "double"}.get(low, "string")
-
-
 def type_column(name: Column, overrides: Mapping[str, str] | None = None) -> Column:
-    """``type_for_key`` over a column of names."""
+    """Type by key name; the first rule that fits wins. Overrides go by exact name."""
     low = F.lower(name)
     rule = (
         F.when(low.contains("id"), "string")
@@ -173,9 +153,8 @@ def from_keys(
 
 def to_struct(table: DataFrame) -> T.StructType:
     """``StructType`` from the ``nested`` schema table, fields in key order."""
-    rows = table.select("path", "type").orderBy("path").limit(MAX_FIELDS + 1).collect()
-    if len(rows) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} fields")
+    # a schema is held by the driver, as every plan that uses it is
+    rows = table.select("path", "type").orderBy("path").collect()
     root: dict = {}
     for row in rows:
         level = root

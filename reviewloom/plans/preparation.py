@@ -16,12 +16,12 @@ def prepare(
     style: str = "style",
     min_non_null: int = 10_000,
 ) -> DataFrame:
-    """Flatten the attributes, keep one row per key, drop attributes that hardly occur.
+    """Keep one row per key, flatten the attributes that occur often enough, drop sparse ones.
 
-    The de-duplicated rows are written once: counting the columns and selecting from them would
-    otherwise repeat the shuffle.
+    Rows are de-duplicated raw, with the attributes still one text, and written once. The keys of
+    the attributes are then counted, and columns are built for the frequent ones only.
     """
     placeholders = drop_columns(raw, regex=rf"^{style}_dup\d+$", only_null=True)
-    flat = flatten_json(placeholders, style, f"{style}_")
-    unique = materialize(dedupe(flat, keys, order), "deduplicated")
-    return prune_sparse(unique, f"{style}_", min_non_null)
+    unique = materialize(dedupe(placeholders, keys, order), "deduplicated")
+    dense = prune_sparse(unique, f"{style}_", min_non_null)
+    return flatten_json(dense, style, f"{style}_", min_non_null=min_non_null)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,25 +34,36 @@ def table_files(df: DataFrame) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame,
-    path: str,
-    mode: str = "overwrite",
-    files: int | None = None,
-    max_rows: int = 1_000_000,
+    df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None
 ) -> None:
-    """Parquet sink. ``files`` fixes the number of files and is refused for more than ``max_rows``.
+    """Parquet sink. ``files`` deals the rows to that many files, in as many tasks.
 
-    Writing over a path the frame itself reads from would delete the input first, so it is refused.
+    An overwrite is written beside the target and then takes its place, so a frame may be written
+    over its own input, and a write that fails leaves the target as it was.
     """
-    target = path.rstrip("/")
-    sources = [f.split(":", 1)[-1].replace("///", "/") for f in df.inputFiles()]
-    if any(f == target or f.startswith(target + "/") for f in sources):
-        raise ValueError(f"{path} is also an input of this write")
     if files is not None:
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"a fixed number of files is for at most {max_rows} rows")
-        df = df.coalesce(files)
-    df.write.mode(mode).parquet(path)
+        df = df.repartition(files)
+    target = path.rstrip("/")
+    if mode != "overwrite" or not _exists(df.sparkSession, target):
+        df.write.mode(mode).parquet(target)
+        return
+    aside = f"{target}-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    fs, old = _located(df.sparkSession, target)
+    fs.delete(old, True)
+    if not fs.rename(_located(df.sparkSession, aside)[1], old):
+        raise OSError(f"{aside} holds the table, but could not be renamed to {target}")
+
+
+def _located(spark: SparkSession, path: str):
+    """The file system of a path, whatever its scheme, and the path on it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, there = _located(spark, path)
+    return fs.exists(there)
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:

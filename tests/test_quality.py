@@ -2,7 +2,7 @@ import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
-from reviewloom.functions.names import match_columns, safe_key, safe_key_column
+from reviewloom.functions.names import match_columns, safe_key_column
 from reviewloom.operators import nested, paging, quality, sampling
 
 KEYS = ["reviewerID", "asin", "unixReviewTime"]
@@ -72,16 +72,22 @@ def test_flatten(spark):
     assert rows[6]["style_n"] == '{"x":1}' and rows[6]["style_z"] is None
     for i in range(7, 11):
         assert all(v is None for k, v in rows[i].items() if k.startswith("style_"))
-    with pytest.raises(ValueError):
-        nested.flatten_json(df, "style", max_keys=3)
+    dense = nested.flatten_json(df, "style", min_non_null=2)
+    assert [c for c in dense.columns if c.startswith("style_")] == ["style_scent"]
     long = nested.attributes_long(df, "style", ["id"])
     assert {(r.id, r.name, r.value) for r in long.collect()} >= {(0, "color_name", "Red"), (6, "z", None)}
 
 
-def test_safe_key_twins_agree(spark):
-    keys = ["Color:", " Size:", "A B:C", "x.y", "É:"]
+def test_safe_key(spark):
+    keys = {"Color:": "color", " Size:": "_size", "A B:C": "a_bc", "x.y": "x.y", "É:": "é"}
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    assert [r[0] for r in df.select(safe_key_column(F.col("k"))).collect()] == [safe_key(k) for k in keys]
+    assert [r[0] for r in df.select(safe_key_column(F.col("k"))).collect()] == list(keys.values())
+
+
+def test_more_keys_than_columns_are_wanted(spark):
+    rows = [(i, '{"Often:":"x","Rare %d:":"y"}' % i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, style string")
+    assert nested.flatten_json(df, "style", min_non_null=2).columns == ["id", "style", "style_often"]
 
 
 def test_positions_follow_the_order_and_survive_skewed_values(spark):
