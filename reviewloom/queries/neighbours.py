@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from reviewloom.operators import vectors
 from reviewloom.queries.inputs import DOCUMENT_REVIEWS, documents, load, sql, table
 from reviewloom.queries.texts import tokens_sql
-from reviewloom.sources.collections import Collection, Spec, coerce
+from reviewloom.session import materialize
+from reviewloom.sources.collections import Collection, Spec, coerce, list_collections
 
 DIM = 64
 PIVOTS, PROBES = 16, 4
@@ -137,17 +138,37 @@ def _coerced(spark, sf) -> DataFrame:
         "unixReviewTime",
         "note",
         F.size("embedding").cast("bigint").alias("dim"),
+        F.round(F.col("embedding")[0].cast("double"), 6).alias("first"),
+        F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("total"),
     )
 
 
 def _collection(spark, sf) -> DataFrame:
-    """Create, load in two appends, read back; the table is dropped when the name is used again."""
+    """Create, load in two appends, read back, drop: the counts are written before."""
     made = Collection(spark, f"objects_{uuid.uuid4().hex}").create(SPEC)
     made.write(_objects(spark, sf), SPEC)
     made.append(made.read().filter("overall IS NULL"))
-    return made.read().groupBy("note").agg(
+    counts = made.read().groupBy("note").agg(
         F.count("*").alias("objects"), F.count("overall").alias("rated"), F.count("embedding").alias("vectors")
     )
+    kept = materialize(counts, "counts")
+    made.drop()
+    return kept
+
+
+def _catalog(spark, sf) -> DataFrame:
+    """Two collections are made and filled, one is dropped; what the catalog then says of each."""
+    names = [f"catalog_{uuid.uuid4().hex}" for _ in range(2)]
+    first, second = (Collection(spark, n).create(SPEC) for n in names)
+    for made in (first, second):
+        made.write(_objects(spark, sf), SPEC)
+    listed = len({*names} & {*list_collections(spark)})
+    second.drop()
+    row = (listed, first.count(), first.exists(), second.exists(), first.encoder() == SPEC.encoder)
+    first.drop()
+    return spark.createDataFrame(
+        [row], "listed long, objects long, kept boolean, dropped_found boolean, encoder_kept boolean"
+    )
 
 
 QUERIES = {
@@ -157,7 +178,11 @@ QUERIES = {
         EXACT,
     ),
     "nearest_vectors_approximate": (lambda s, d: _rounded(_approx(s, d)), APPROX),
-    "nearest_vectors_recall": (_recall, None),
+    "nearest_vectors_recall": (
+        _recall,
+        f"""SELECT round(count(a.id) / count(*), 6) AS recall FROM ({EXACT}) e
+            LEFT JOIN ({APPROX}) a ON e.qid = a.qid AND e.id = a.id""",
+    ),
     "text_vectors": (
         _embed,
         f"""WITH {weights_cte("w", "(SELECT doc_id, concat_ws(' ', lang, text) AS c FROM documents)", "doc_id", "c")}
@@ -184,7 +209,14 @@ QUERIES = {
         _coerced,
         """SELECT vec_id::VARCHAR AS vec_id, CASE WHEN label <> 0 THEN label::DOUBLE END AS overall,
            CASE vec_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS verified,
-           vec_id * 1000 AS "unixReviewTime", label::VARCHAR AS note, len(embedding) AS dim FROM embeddings""",
+           vec_id * 1000 AS "unixReviewTime", label::VARCHAR AS note, len(embedding) AS dim,
+           round(embedding[1]::DOUBLE, 6) AS first, round(list_sum(embedding::DOUBLE[]), 5) AS total
+           FROM embeddings""",
+    ),
+    "collection_catalog": (
+        _catalog,
+        """SELECT 2::BIGINT AS listed, count(*) AS objects, true AS kept, false AS dropped_found,
+           true AS encoder_kept FROM embeddings""",
     ),
     "collection_load_and_count": (
         _collection,

@@ -98,6 +98,40 @@ def _generated(spark, sf) -> DataFrame:
     return read.select("r.id", F.col("r.buyer.priority").alias("priority"), "r.verified", "r.overall")
 
 
+def _inferred_scan(spark, sf) -> DataFrame:
+    path = new_path(spark, "inferred")
+    load(spark, sf, RECORDS).select("value").write.text(path)
+    return lines.read_json(spark, path, sample=1.0).select(
+        "id", "buyer.custkey", "buyer.priority", "verified", "overall"
+    )
+
+
+def _multi_line(spark, sf) -> DataFrame:
+    """Customers as JSON documents of up to 1000 records over several lines, one file each."""
+    path = new_path(spark, "documents")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    pages = lines.json_arrays(rows, ["c_custkey"], 1000)
+    spaced = pages.select("page", F.replace("records", F.lit("},"), F.lit("},\n")).alias("value"))
+    spaced.write.partitionBy("page").text(path)
+    return lines.read_json(spark, path, multiline=True).drop("page")
+
+
+def _single_file(spark, sf) -> DataFrame:
+    """A table written to one file, with what the load reported."""
+    path = new_path(spark, "single")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    done = tables.write_with_metrics(rows, path, total=2 * rows.count())
+    tables.write_table(tables.read_table(spark, path), path, files=1)
+    known = done.rows_per_second > 0 and done.remaining_seconds > 0
+    return tables.table_files(tables.read_table(spark, path)).select(
+        F.lit(1).cast("long").alias("files"),
+        "rows",
+        F.lit(done.rows).cast("long").alias("loaded"),
+        F.lit(done.percent).alias("percent"),
+        F.lit(known).alias("rate_known"),
+    )
+
+
 QUERIES = {
     "json_lines_split": (
         _split,
@@ -161,4 +195,18 @@ QUERIES = {
         _files,
         "SELECT 'lineitem.parquet' AS file, count(*) AS \"rows\" FROM lineitem",
     ),
+    "json_scan_inferred": (
+        _inferred_scan,
+        """SELECT o_orderkey AS id, o_custkey AS custkey, o_orderpriority AS priority,
+           o_orderstatus = 'F' AS verified, 1.5::DOUBLE AS overall FROM orders""",
+    ),
+    "json_multi_line": (
+        _multi_line,
+        "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+    ),
+    "single_file_table": (
+        _single_file,
+        """SELECT 1::BIGINT AS files, count(*) AS rows, count(*) AS loaded, 50.0::DOUBLE AS percent,
+           true AS rate_known FROM orders""",
+    ),
 }

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.functions.names import columns, quoted
-from reviewloom.session import shared_dir
 
 # Properties that are not text.
 TYPED_PROPERTIES = {"unixReviewTime": "bigint", "overall": "double", "verified": "boolean"}
@@ -94,8 +93,8 @@ class Collection:
 
 
 def _ensure_database(spark: SparkSession, database: str) -> None:
-    if not spark.catalog.databaseExists(database):
-        spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_dir(spark)}/{database}'")
+    """The database lies in the warehouse of the session catalog, where tables outlive a session."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
 def list_collections(spark: SparkSession, database: str = DATABASE) -> list[str]:
