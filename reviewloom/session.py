@@ -62,3 +62,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes every table that ``materialize`` and ``new_path`` have placed for this application.
+
+    To be called once results have been written: frames that still read those tables fail after it.
+    """
+    there = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
