@@ -86,3 +86,15 @@ def test_intent_and_entities(spark):
     assert [tuple(r) for r in got] == [
         ("recommendation", []), ("review_search", []), ("product_info", ["product"]), ("general_query", []),
     ]
+
+
+def test_regular_lemmas(spark):
+    said = "walk walked make making big bigger late latest sing thing ring stop stopped stopping"
+    df = spark.createDataFrame([(1, said)], "id long, t string")
+    table = text.regular_lemmas(text.vocabulary(df, ["t"]))
+    assert {r.token: r.lemma for r in table.collect()} == {
+        "walked": "walk", "making": "make", "bigger": "big", "latest": "late", "stopped": "stop", "stopping": "stop",
+    }
+    stop = spark.createDataFrame([], "token string")
+    got = text.clean_with_tables(df, "id", "t", stop, table).first().cleaned
+    assert got == "walk walk make make big big late late sing thing ring stop stop stop"
