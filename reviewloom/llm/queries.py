@@ -111,6 +111,31 @@ def near_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+NEAR_DOCUMENTS_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), grams AS (
+    SELECT doc_id, CASE
+        WHEN len(w) > 0 THEN list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+            lambda i: array_to_string(w[i:i + 4], ' ')))
+        WHEN trim(text, E' \t\n\r\v\f') <> '' THEN [concat('- ', trim(text, E' \t\n\r\v\f'))]
+        ELSE [] END AS g FROM worded
+), each AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM grams),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), class AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a),
+number AS (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_links, component_id, doc_id = component_id AS kept
+FROM class LEFT JOIN number USING (doc_id)
+"""
+
+
 NEAR_VECTORS_SQL = """
 WITH RECURSIVE unit AS (
     SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
@@ -142,6 +167,6 @@ QUERIES = {
     "op6_near_vectors": (near_vector_links, NEAR_VECTORS_SQL),
     "op7_token_files": (token_file_round_trip, None),
     "op8_language": (languages, None),
-    "op9_ngram_join": (near_documents, None),
+    "op9_ngram_join": (near_documents, NEAR_DOCUMENTS_SQL),
     "op10_best_fit_packing": (packed_documents, None),
 }
