@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable
 
@@ -19,7 +20,7 @@ LONGEST = 4  # characters of an n-gram
 TOGETHER = 50_000  # words of a text scored at once
 UNSEEN = 200_000  # unseen words whose scores a worker keeps
 
-_loaded: dict[int, "Scorer"] = {}
+_loaded: dict[str, "Scorer"] = {}
 
 
 def _grams(word: str) -> str:
@@ -49,7 +50,7 @@ def fit(
     numbers = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     langs = sorted(r["lang"] for r in numbers)
     if not langs:
-        return {"langs": [], "items": {k: {} for k in range(LONGEST + 1)}, "logs": np.zeros((1, 0), np.float32)}
+        return {"name": "", "langs": [], "items": {k: {} for k in range(LONGEST + 1)}, "logs": np.zeros((1, 0), np.float32)}
     # the share of each language's rows that gives about the number wanted
     share = F.create_map(*[F.lit(x) for r in numbers for x in (r["lang"], min(1.0, rows / r["count"]))])
     # a double made of the hash, so that equal keys fall on the same side everywhere
@@ -98,7 +99,7 @@ def fit(
     tables: dict = {order: {} for order in range(LONGEST + 1)}
     for i, (order, item) in enumerate(zip(orders.tolist(), items)):
         tables[order][item] = i + 1
-    return {"langs": langs, "items": tables, "logs": logs}
+    return {"name": uuid.uuid4().hex, "langs": langs, "items": tables, "logs": logs}
 
 
 class Scorer:
@@ -110,6 +111,11 @@ class Scorer:
         room = self.known + UNSEEN + TOGETHER
         self.logs = np.zeros((room, len(self.langs)), np.float32)
         self.logs[: self.known] = model["logs"]
+        self.grams = {
+            gram: tuple(self.logs[row].tolist())
+            for order in range(1, LONGEST + 1)
+            for gram, row in self.items[order].items()
+        }
         self.rows = _Rows(self._unseen)
         self._reset()
 
@@ -122,15 +128,16 @@ class Scorer:
         """The row of a word outside the table: the mean over its places of the longest known n-gram."""
         if not any(c.isalpha() for c in word):
             return 0
-        padded, found = _grams(word), []
+        padded, get, found = _grams(word), self.grams.get, []
         for i in range(len(padded)):
-            for order in range(LONGEST, 0, -1):
-                row = self.items[order].get(padded[i : i + order])
-                if row is not None:
-                    found.append(row)
+            for end in range(min(i + LONGEST, len(padded)), i, -1):
+                logs = get(padded[i:end])
+                if logs is not None:
+                    found.append(logs)
                     break
         row, self.next = self.next, self.next + 1
-        self.logs[row] = self.logs[found].mean(0) if found else 0
+        n = max(len(found), 1)
+        self.logs[row] = [sum(x) / n for x in zip(*found)] or 0
         return row
 
     def score(self, text: str | None) -> tuple[str, float]:
@@ -162,11 +169,11 @@ class _Rows(dict):
 
 
 def _scorer(sent) -> Scorer:
-    key = id(sent.value)
-    if key not in _loaded:
+    name = sent.value["name"]
+    if name not in _loaded:  # one per worker, so that its scores serve many tasks
         _loaded.clear()
-        _loaded[key] = Scorer(sent.value)
-    return _loaded[key]
+        _loaded[name] = Scorer(sent.value)
+    return _loaded[name]
 
 
 def identify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections import Counter
 from collections.abc import Iterable
+from hashlib import sha256
 
 import pyarrow as pa
 import regex
@@ -15,7 +16,7 @@ from public_tokenizers import PATTERN
 
 from reviewloom.llm.batches import Cache, add_columns
 
-_loaded: dict[int, "Counts"] = {}
+_loaded: dict[str, "Counts"] = {}
 
 
 class Counts:
@@ -108,7 +109,8 @@ def count_tokens(
         content = f.read()
     frequent = frequent_pretokens(df, content, text, size=size)
     sent = df.sparkSession.sparkContext.broadcast((content, frequent))
-    key = sent.id if hasattr(sent, "id") else id(sent)
+    # counts depend on the tokenizer alone, so a worker may keep another table for it
+    key = sha256(content.encode()).hexdigest()
 
     def make():
         if key not in _loaded:
