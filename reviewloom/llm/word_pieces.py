@@ -23,7 +23,9 @@ SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 #: Entries of the cache, and characters of text split at once: bounds of a worker's memory.
-CACHED, TOGETHER = 500_000, 3_000_000
+CACHED, TOGETHER = 400_000, 3_000_000
+#: Bytes of a word from which on a wider matrix is used.
+WIDTHS = [*range(2, 16), 18, 22, 28, 40, 80]
 #: Characters of a word that is merged here; the library's queue is better for longer ones.
 LONGEST = 256
 
@@ -61,9 +63,12 @@ class WordPieces:
         self.ids: dict[str, bytes] = {}
 
     def _learn(self, parts: set[str]) -> None:
-        """Adds the ids of new parts, and of the words in them, to the cache; it starts anew when full."""
+        """Adds the ids of new parts, and of the words in them, to the cache.
+
+        A full cache is cut down to the parts at hand, which are mostly the frequent ones.
+        """
         if len(self.ids) > CACHED:
-            self.ids = {}
+            self.ids = {p: self.ids[p] for p in parts & self.ids.keys()}
         mixed = {p: self.find(p) for p in parts - self.ids.keys() if not p.isalpha()}
         words = parts - mixed.keys()
         words.update(*mixed.values())
@@ -125,20 +130,24 @@ class PairTable:
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (right >= 0), self.ranks[at], self.none)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none)
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word: always the pair of the lowest rank, the leftmost of equal ones."""
         out: list[bytes] = [b""] * len(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(lengths, kind="stable")
-        bounds = np.searchsorted(lengths[order], np.unique(lengths))
-        for at in np.split(order, bounds[1:]) if len(words) else []:
-            at, n = at.tolist(), len(words[at[0]])
-            raw = np.frombuffer(b"".join([words[i] for i in at]), np.uint8).reshape(-1, n)
+        # words of about one length share a matrix, filled up with -1, which pairs with nothing
+        for at in np.split(order, np.searchsorted(lengths[order], WIDTHS)):
+            if not len(at):
+                continue
+            n = int(lengths[at[-1]])
+            at, size = at.tolist(), lengths[at][:, None]
+            raw = np.zeros((len(at), n), np.uint8)
+            raw[np.arange(n) < size] = np.frombuffer(b"".join([words[i] for i in at]), np.uint8)
             ids = np.full((len(at), n + 1), -1, np.int64)
-            ids[:, : n - 1] = self.inner[raw[:, :-1]]
-            ids[:, n - 1] = self.final[raw[:, -1]]
+            ids[:, :n] = np.where(np.arange(n) < size - 1, self.inner[raw], -1)
+            np.put_along_axis(ids, size - 1, self.final[np.take_along_axis(raw, size - 1, 1)], 1)
             ranks = self.rank(ids[:, :-1], ids[:, 1:])
             rows, cols = np.arange(len(at)), np.arange(n + 1)
             while len(rows):
