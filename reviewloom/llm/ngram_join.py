@@ -314,8 +314,13 @@ def join(
         .join(signed.select("row", "id", "text_key", "n"), "row"),
         "members",
     )
-    # the texts of candidates only are hashed again, for their whole sets
-    again = docs.withColumnRenamed("id", "doc").join(members, "text_key").filter(F.col("doc").eqNullSafe(F.col("id")))
+    # The texts of candidates only are hashed again, for their whole sets. The candidates grow with
+    # the corpus, so they are never broadcast: the plan is the same at every size.
+    again = (
+        docs.withColumnRenamed("id", "doc")
+        .join(members.hint("merge"), "text_key")
+        .filter(F.col("doc").eqNullSafe(F.col("id")))
+    )
     again = again.groupBy("row", "component", "weight").agg(F.first("text").alias("text"))
 
     def grams(batches: Iterable[pa.RecordBatch]):
