@@ -247,7 +247,8 @@ def _verify(least: float):
             here = np.zeros((len(rows), step), np.float32)
             here[owner[a:z], column[a:z] - part * step] = 1
             common += here @ here.T
-        near = common >= least * (sizes[:, None] + sizes[None, :] - common)
+        common = common.astype(np.float64)
+        near = common / (sizes[:, None] + sizes[None, :] - common) >= least
         np.fill_diagonal(near, False)
         if i != j:  # pairs within a block are another group's
             near &= block[:, None] != block[None, :]
