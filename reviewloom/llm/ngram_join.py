@@ -169,7 +169,8 @@ def _alike(b: int, r: int, least: float):
     """Maps runs of a bucket's rows to a forest of pairs whose estimated similarity is ``least``.
 
     Rows join the tree of the first one they resemble, and are then compared with the rest in turn,
-    so every pair that reaches the estimate ends in one tree without being written.
+    so every pair that reaches the estimate ends in one tree without being written. All rows of a
+    tree hang on its first, which saves rounds when the buckets' trees are put together.
     """
     width, wanted = b * r, int(np.ceil(least * b * r))
 
@@ -183,11 +184,10 @@ def _alike(b: int, r: int, least: float):
             for a, z in zip(cuts[:-1], cuts[1:]):
                 rest = np.arange(a, z)
                 while len(rest) > 1:
-                    tree, rest = [rest[0]], rest[1:]
+                    root, tree, rest = rows[rest[0]], [rest[0]], rest[1:]
                     while tree and len(rest):
-                        one = tree.pop()
-                        near = (sketch[rest] == sketch[one]).sum(1) >= wanted
-                        out += [(rows[one], rows[x]) for x in rest[near]]
+                        near = (sketch[rest] == sketch[tree.pop()]).sum(1) >= wanted
+                        out += [(root, rows[x]) for x in rest[near]]
                         tree += rest[near].tolist()
                         rest = rest[~near]
             if out:
