@@ -42,11 +42,13 @@ def nearest_by_inner_product(
     pivot has an inverted file: the place of that pivot in each vector's order. Every block of
     queries meets every block of the index: the files are read pivot by pivot, the differences of
     places are added up to the footrule distance, and the nearest ``share`` of the block by
-    footrule (at least ``floor`` vectors) are ranked again by the exact inner product in double
-    precision. Each block gives k rows a query, of which the best k stay.
+    footrule (at least ``floor`` vectors, and all that tie with the last of them) are ranked again
+    by the exact inner product in double precision. Each block gives k rows a query, of which the
+    best k stay. Of equal vectors the index holds the k + 1 smallest ids, all that any answer can
+    use, so copies neither crowd out other candidates nor lose a place to larger ids.
 
     Pivots come from a sample of at most 16 times their number, so the broadcast is bounded; every
-    usable row is indexed, and a query never meets its own row. Columns: ``query_id``, ``rank``
+    distinct usable vector is indexed, and a query never meets its own row. Columns: ``query_id``, ``rank``
     from 1, ``vec_id``, ``score``; ties go to the smaller id. Vectors that are null, zero, or hold
     null or non-finite parts take no part; shorter ones count as filled up with zeros. A row with
     fewer candidates than k gets all of them. Repeated ids are rows of their own.
@@ -78,7 +80,9 @@ def nearest_by_inner_product(
 
     n_blocks, n_queries = -(-n // block), max(1, -(-stats["q"] // query_block))
     spread = F.xxhash64("_row")
-    index = numbered.withColumn("b", F.pmod(spread, F.lit(n_blocks)).cast("int"))
+    copies = Window.partitionBy("vec").orderBy("vec_id", "_row")
+    index = numbered.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k + 1)
+    index = index.withColumn("b", F.pmod(spread, F.lit(n_blocks)).cast("int"))
     # one copy of each row for each block of queries, one of each query for each block of rows
     index = index.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))).withColumn("side", F.lit(0))
     asked = numbered.filter("_query").withColumn("q", F.pmod(spread, F.lit(n_queries)).cast("int"))
@@ -110,7 +114,8 @@ def nearest_by_inner_product(
                         total += apart(files[i + 1], wanted[i + 1, j], more)
                     footrule += total
                 footrule[number[here] == number[q]] = np.iinfo(np.uint32).max
-                near = np.argpartition(footrule, top - 1)[:top] if top < len(here) else np.arange(len(here))
+                last = np.partition(footrule, top - 1)[top - 1]
+                near = np.flatnonzero(footrule <= last)  # all that tie at the cut
                 near = near[number[here[near]] != number[q]]
                 exact = (mine[near] * vectors[q]).sum(1)
                 first = np.lexsort((names[here[near]], -exact))[:k]

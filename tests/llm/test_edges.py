@@ -233,3 +233,20 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
         last = corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path))
         kept = {r.doc_id for r in last.collect()}
         assert kept <= {1, 2, 6, 9, 10, 11, None}
+
+
+def test_permutation_index_copies(spark):
+    """A third copies of one vector, and vectors of one direction: ties at the cut all reach the exact ranking."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((600, 16)).astype(np.float32).astype(float)
+    x[::3] = x[0]
+    x[1:300:3] = np.outer(1 + np.arange(100) / 128, x[1])
+    ids = np.arange(600)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    asked = F.col("vec_id").isin(0, 300, 1, 298)
+    got = permutation_index.nearest_by_inner_product(df, asked, floor=30, share=0.05, block=600).collect()
+    for q in (0, 300, 1, 298):
+        score = x @ x[q]
+        score[q] = -np.inf
+        best = ids[np.lexsort((ids, -score))[:20]].tolist()
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == best
