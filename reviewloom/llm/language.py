@@ -19,12 +19,30 @@ WORDS = re.compile(r"[^\W\d_]+").findall
 LONGEST = 4  # characters of an n-gram
 TOGETHER = 50_000  # words of a text scored at once
 UNSEEN = 200_000  # unseen words whose scores a worker keeps
+PIECE = 1 << 16  # places of a word looked at before sums are carried on
+COUNTED = 1 << 20  # counts that a learning task holds before it passes them on
 
 _loaded: dict[str, "Scorer"] = {}
 
 
-def _grams(word: str) -> str:
-    return f" {word[:200]} "
+def _pieces(word: str) -> Iterable[tuple[str, int]]:
+    """The whole padded word in pieces of at most ``PIECE`` places, each with the characters its last n-grams need."""
+    padded = f" {word} "
+    for at in range(0, len(padded), PIECE):
+        yield padded[at : at + PIECE + LONGEST - 1], min(PIECE, len(padded) - at)
+
+
+def _counts(seen: Counter) -> pa.RecordBatch:
+    one, order, item = zip(*seen) if seen else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(one, pa.string()),
+            pa.array(order, pa.int32()),
+            pa.array(item, pa.string()),
+            pa.array(seen.values(), pa.int64()),
+        ],
+        ["lang", "n_chars", "item", "n"],
+    )
 
 
 def fit(
@@ -64,20 +82,14 @@ def fit(
                 for word, n in Counter(WORDS((t or "").lower())).items():
                     seen[one, 0, word] += n
             for (one, _, word), n in list(seen.items()):
-                padded = _grams(word)
-                for order in range(1, LONGEST + 1):
-                    for i in range(len(padded) - order + 1):
-                        seen[one, order, padded[i : i + order]] += n
-            one, order, item = zip(*seen) if seen else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(one, pa.string()),
-                    pa.array(order, pa.int32()),
-                    pa.array(item, pa.string()),
-                    pa.array(seen.values(), pa.int64()),
-                ],
-                ["lang", "n_chars", "item", "n"],
-            )
+                for piece, places in _pieces(word):
+                    for order in range(1, LONGEST + 1):
+                        for i in range(min(places, len(piece) - order + 1)):
+                            seen[one, order, piece[i : i + order]] += n
+                    if len(seen) > COUNTED:
+                        yield _counts(seen)
+                        seen.clear()
+            yield _counts(seen)
 
     counts = (
         sample.select("lang", "text")
@@ -128,16 +140,20 @@ class Scorer:
         """The row of a word outside the table: the mean over its places of the longest known n-gram."""
         if not any(c.isalpha() for c in word):
             return 0
-        padded, get, found = _grams(word), self.grams.get, []
-        for i in range(len(padded)):
-            for end in range(min(i + LONGEST, len(padded)), i, -1):
-                logs = get(padded[i:end])
-                if logs is not None:
-                    found.append(logs)
-                    break
+        get, sums, n = self.grams.get, [], 0
+        for piece, places in _pieces(word):
+            found = []
+            for i in range(places):
+                for end in range(min(i + LONGEST, len(piece)), i, -1):
+                    logs = get(piece[i:end])
+                    if logs is not None:
+                        found.append(logs)
+                        break
+            if found:
+                n += len(found)
+                sums = [sum(x) for x in zip(*found, *([sums] if sums else []))]
         row, self.next = self.next, self.next + 1
-        n = max(len(found), 1)
-        self.logs[row] = [sum(x) / n for x in zip(*found)] or 0
+        self.logs[row] = [x / n for x in sums] or 0
         return row
 
     def score(self, text: str | None) -> tuple[str, float]:

@@ -250,3 +250,19 @@ def test_permutation_index_copies(spark):
         score[q] = -np.inf
         best = ids[np.lexsort((ids, -score))[:20]].tolist()
         assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == best
+
+
+def test_language_reads_whole_words(spark, monkeypatch):
+    """Texts without breaks are learned and judged by all their letters, whatever the pieces."""
+    learned = [(1, "ab" * 100 + "cd" * 3000, "x"), (2, "ab" * 100 + "ef" * 3000, "y")]
+    df = spark.createDataFrame(learned, "doc_id long, text string, lang string")
+    model = language.fit(df, F.lit(True))
+    assert {"cdcd", "efef", "bcdc"} <= set(model["items"][4])
+    assert model["logs"][model["items"][3]["cdc"]].argmax() == 0
+    texts = {"ba" * 150 + "cd" * 2000: "x", "ba" * 150 + "ef" * 2000: "y", "dc" * 150 + "ef" * 2000: "y"}
+    asked = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.text: r.lang_pred for r in language.identify(asked, model).collect()} == texts
+    whole = [language.Scorer(model).score(t) for t in texts]
+    monkeypatch.setattr(language, "PIECE", 7)
+    assert np.allclose([p for _, p in whole], [language.Scorer(model).score(t)[1] for t in texts])
+    assert ["".join(p[:n] for p, n in language._pieces("x" * m)) for m in range(30)] == [f" {'x' * m} " for m in range(30)]
