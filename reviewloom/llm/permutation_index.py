@@ -41,11 +41,14 @@ def nearest_by_inner_product(
     set of blocks of about ``block`` vectors, spread by a hash of the row, and in each block every
     pivot has an inverted file: the place of that pivot in each vector's order. Every block of
     queries meets every block of the index: the files are read pivot by pivot, the differences of
-    places are added up to the footrule distance, and the nearest ``share`` of the block by
-    footrule (at least ``floor`` vectors, and all that tie with the last of them) are ranked again
+    places are added up to the footrule distance, and the best ``share`` of the block by it
+    (at least ``floor`` vectors, and all that tie with the last of them) are ranked again
     by the exact inner product in double precision. Each block gives k rows a query, of which the
     best k stay. Of equal vectors the index holds the k + 1 smallest ids, all that any answer can
-    use, so copies neither crowd out other candidates nor lose a place to larger ids.
+    use, so copies neither crowd out other candidates nor lose a place to larger ids. The order of
+    pivots says nothing of a vector's length, so candidates are the rows whose length times the
+    cosine that their footrule suggests, plus some standard errors, is largest; for vectors of one
+    length that is the order of the footrule.
 
     Pivots come from a sample of at most 16 times their number, so the broadcast is bounded; every
     distinct usable vector is indexed, and a query never meets its own row. Columns: ``query_id``, ``rank``
@@ -89,6 +92,11 @@ def nearest_by_inner_product(
     asked = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("side", F.lit(1))
     columns = ["b", "q", "side", "_row", "vec_id", "vec"]
 
+    # the mean footrule of two orders with normal scores of correlation c is 1/2 - asin((1 + c) / 2) / pi
+    # of the squared number of pivots; long vectors get the doubt, since they can win the most
+    p = chosen.shape[0]
+    cosines = 2 * np.cos(np.pi * np.arange(p * p // 2 + 1) / p**2) - 1 + 2.5 / np.sqrt(p)
+
     def search(key: tuple, group: pa.Table) -> pa.Table:
         side = group["side"].to_numpy()
         here, there = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -99,6 +107,8 @@ def nearest_by_inner_product(
             vectors = unpack(group["vec"], dims)
             mine = vectors[here]
             files, wanted = places(mine), places(vectors[there])
+            scaled = mine / np.abs(mine).max()  # so that no square overflows
+            length = np.linalg.norm(scaled, axis=1)
             top = min(len(here), max(floor, int(np.ceil(share * len(here)))))
             scratch, more, least = (np.empty(len(here), files.dtype) for _ in range(3))
 
@@ -113,9 +123,10 @@ def nearest_by_inner_product(
                     if i + 1 < len(files):
                         total += apart(files[i + 1], wanted[i + 1, j], more)
                     footrule += total
-                footrule[number[here] == number[q]] = np.iinfo(np.uint32).max
-                last = np.partition(footrule, top - 1)[top - 1]
-                near = np.flatnonzero(footrule <= last)  # all that tie at the cut
+                worth = length * cosines[footrule]
+                worth[number[here] == number[q]] = -np.inf
+                last = np.partition(worth, len(here) - top)[len(here) - top]
+                near = np.flatnonzero(worth >= last)  # all that tie at the cut
                 near = near[number[here[near]] != number[q]]
                 exact = (mine[near] * vectors[q]).sum(1)
                 first = np.lexsort((names[here[near]], -exact))[:k]
