@@ -76,20 +76,37 @@ LICENSES = [
     ("cc-by-nc-nd", "cc by nc nd(?: [1234] [05])?", "creative commons attribution non ?commercial no ?deriv\\w*(?: [1234] [05])?"),
 ]
 
+LICENSE = ["license", "licence"]
+
+#: Words of which every match of a name holds one, where that is not LICENSE.
+NAME_KEYWORDS = {
+    "gpl-2": [*LICENSE, "gpl"],
+    "gpl-3": [*LICENSE, "gpl"],
+    "unlicense": ["unlicense"],
+    "cc0": ["creative", "cc0"],
+    "cc-by": ["creative"],
+    "cc-by-sa": ["creative"],
+    "cc-by-nd": ["creative"],
+    "cc-by-nc": ["creative"],
+    "cc-by-nc-sa": ["creative"],
+    "cc-by-nc-nd": ["creative"],
+}
+
 #: Forms in which a license is stated, most telling first: regex, keywords, score.
-#: NAME and CODE stand for a license's own; keywords are words of which a text must hold one.
+#: NAME and CODE stand for a license's own; keywords are words of which a text must hold one, and
+#: None stands for those of the license's name.
 FORMS = [
     ("spdx licen[sc]e identifier (?:CODE)", ["spdx"], 1.0),
     (
         "(?:licen[sc]ed|released|distributed|published|provided|available|redistribute it)(?: and or modify it)? "
         "under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:NAME)",
-        ["license", "licence"],
+        None,
         1.0,
     ),
-    ("under (?:the )?(?:terms of )?(?:the )?(?:NAME)", ["license", "licence"], 0.95),
+    ("under (?:the )?(?:terms of )?(?:the )?(?:NAME)", None, 0.95),
     ("licen[sc]ed under (?:the )?(?:CODE)(?: licen[sc]e)?", ["licensed", "licenced"], 0.95),
-    ("licen[sc]e (?:CODE)", ["license", "licence"], 0.85),
-    ("(?:NAME)", ["license", "licence", "unlicense", "cc0", "creative"], 0.7),
+    ("licen[sc]e (?:CODE)", LICENSE, 0.85),
+    ("(?:NAME)", None, 0.7),
 ]
 
 #: Single rules: label, regex, keywords, score.
@@ -132,7 +149,12 @@ def _rule(label: str, pattern: str, keywords: list[str], score: float) -> Rule:
 def rules() -> list[Rule]:
     """Some 290 rules in order of priority: each form for each license, then the single ones."""
     made = [
-        _rule(label, form.replace("NAME", name).replace("CODE", code), keywords, score)
+        _rule(
+            label,
+            form.replace("NAME", name).replace("CODE", code),
+            NAME_KEYWORDS.get(label, LICENSE) if keywords is None else keywords,
+            score,
+        )
         for form, keywords, score in FORMS
         for label, code, name in LICENSES
     ]
