@@ -86,8 +86,10 @@ class Shingles:
             elif z > a:  # fewer words than n: all of them are the one n-gram
                 own = _mixed((words[a:z] * self.place[: z - a]).sum(keepdims=True) + np.uint64(z - a))
             elif t.strip():  # no word at all: the bytes themselves
-                raw_hash = np.frombuffer(t.strip().ljust(-(-len(t) // 8) * 8, b"\0"), np.uint64)
-                own = _mixed((_mixed(raw_hash + np.arange(len(raw_hash), dtype=np.uint64))).sum(keepdims=True))
+                bare = t.strip()
+                raw_hash = np.frombuffer(bare.ljust(-(-len(bare) // 8) * 8, b"\0"), np.uint64)
+                mixed = _mixed(raw_hash + np.arange(len(raw_hash), dtype=np.uint64))
+                own = _mixed(mixed.sum(keepdims=True) + np.uint64(len(bare)))
             else:
                 own = np.zeros(0, np.uint64)
             out.append(own)
