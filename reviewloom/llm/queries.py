@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import byte_pairs, language, licenses, near_vectors, ngram_join, packing, permutation_index
-from reviewloom.llm import quality, token_counts, token_files
+from reviewloom.llm import byte_pairs, importance, language, licenses, near_vectors, ngram_join, packing
+from reviewloom.llm import permutation_index, quality, token_counts, token_files
 from reviewloom.session import new_path
 
 
@@ -158,6 +158,57 @@ def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir)).drop("text_key")
 
 
+def importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+IMPORTANCE_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT src, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT 's' AS src, doc_id AS id, text FROM documents
+          UNION ALL SELECT 't', item_id, text FROM benchmark)
+), words AS (SELECT src, id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM worded),
+runs AS (
+    SELECT src, id, x, x || ' ' || lead(x) OVER a AS xx, x || ' ' || lead(x) OVER a || ' ' || lead(x, 2) OVER a AS xxx
+    FROM words WINDOW a AS (PARTITION BY src, id ORDER BY i)
+), each AS (
+    SELECT src, id, x FROM runs UNION ALL SELECT src, id, xx FROM runs WHERE xx IS NOT NULL
+    UNION ALL SELECT src, id, xxx FROM runs WHERE xxx IS NOT NULL
+), bytes AS (
+    SELECT i::BIGINT AS i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))::BIGINT AS v
+    FROM range(256) t(i)
+), parts AS (SELECT x, row_number() OVER () AS k FROM (SELECT DISTINCT x FROM each)),
+step AS (
+    SELECT k, hex(encode(x)) AS h, 4294967295::BIGINT AS c FROM parts
+    UNION ALL
+    SELECT k, h[3:], xor(c >> 8, v) FROM step JOIN bytes ON i = xor(c, ('0x' || h[1:2])::BIGINT) & 255 WHERE h <> ''
+), crc AS (SELECT x, xor(c, 4294967295) % 10000 AS bucket FROM step JOIN parts USING (k) WHERE h = ''
+), counted AS (
+    SELECT src, id, bucket, count(*) AS n FROM each JOIN crc USING (x) GROUP BY src, id, bucket
+), total AS (
+    SELECT bucket, coalesce(sum(n) FILTER (src = 's'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (src = 't'), 0)::DOUBLE AS t
+    FROM counted GROUP BY bucket
+), gain AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS g
+    FROM total
+), weighed AS (
+    SELECT id AS doc_id, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS weight
+    FROM counted JOIN gain USING (bucket) WHERE src = 's' GROUP BY id
+), scored AS (
+    SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS fit,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256(concat('42:', id))[1:8])::BIGINT + 0.5::DOUBLE)
+            / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM worded LEFT JOIN weighed ON id = doc_id WHERE src = 's'
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place,
+        5 * count(*) FILTER (fit) OVER () // 100 AS most FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= most THEN place END AS rank FROM placed
+"""
+
+
 QUERIES = {
     "op1_byte_pairs": (byte_pair_round_trip, None),
     "op2_token_counts": (token_count, None),
@@ -169,4 +220,5 @@ QUERIES = {
     "op8_language": (languages, None),
     "op9_ngram_join": (near_documents, NEAR_DOCUMENTS_SQL),
     "op10_best_fit_packing": (packed_documents, None),
+    "op11_importance_draw": (importance_draw, IMPORTANCE_SQL),
 }
