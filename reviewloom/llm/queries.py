@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import byte_pairs, importance, language, licenses, near_vectors, ngram_join, packing
-from reviewloom.llm import permutation_index, quality, token_counts, token_files
+from reviewloom.llm import permutation_index, quality, substrings, token_counts, token_files
 from reviewloom.session import new_path
 
 
@@ -209,6 +209,33 @@ SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= most THEN p
 """
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+PASSAGES_SQL = r"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+    SELECT doc_id, w, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM worded
+), windows AS (
+    SELECT doc_id, x, i, CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END AS run FROM words
+), counted AS (
+    SELECT *, CASE WHEN run IS NOT NULL AND count(*) OVER (PARTITION BY run) > 1 THEN i END AS again FROM windows
+), marked AS (
+    SELECT doc_id, x, i, max(again) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM counted
+), cut AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM worded LEFT JOIN cut USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_byte_pairs": (byte_pair_round_trip, None),
     "op2_token_counts": (token_count, None),
@@ -221,4 +248,5 @@ QUERIES = {
     "op9_ngram_join": (near_documents, NEAR_DOCUMENTS_SQL),
     "op10_best_fit_packing": (packed_documents, None),
     "op11_importance_draw": (importance_draw, IMPORTANCE_SQL),
+    "op13_repeated_passages": (repeated_passages, PASSAGES_SQL),
 }
