@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import byte_pairs, importance, language, licenses, near_vectors, ngram_join, packing
-from reviewloom.llm import permutation_index, quality, substrings, token_counts, token_files
+from reviewloom.llm import periodic_runs, permutation_index, quality, substrings, token_counts, token_files
 from reviewloom.session import new_path
 
 
@@ -209,6 +209,85 @@ SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= most THEN p
 """
 
 
+def _repeating(text: str, key: str) -> Column:
+    """The text; for a tenth of the keys, by hash, its words from some place on repeat with some period."""
+    h = F.crc32(F.col(key).cast("string"))
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(s: Column) -> Column:
+        w, g = s["words"], s["g"]
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.transform(F.sequence(F.lit(0).cast("long"), n - a - 1), lambda i: F.get(w, (a + i % p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, 1, a.cast("int")), tail), " ")
+
+    # an array of one struct, so that the words are split once and not once a word
+    one = F.filter(F.array(F.struct(words.alias("words"), F.floor(h / 10).alias("g"))), lambda s: F.size(s["words"]) > 0)
+    return F.when(h % 10 == 0, F.coalesce(F.get(F.transform(one, repeated), F.lit(0)), F.col(text))).otherwise(F.col(text))
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", _repeating("text", "doc_id").alias("text"))
+    found = periodic_runs.find_runs(docs)
+    # of the runs, which are in order, the first that no other exceeds
+    best = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in periodic_runs.RUN]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("best")[c].alias(c) for c in periodic_runs.RUN],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# A run has at least 16 words that equal those a period later, so it begins with such a row of 16.
+RUNS_SQL = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+        lambda c, b: xor(c >> 8, list_reduce([xor(c, b) & 255, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))) AS h
+    FROM documents
+), placed AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a FROM split),
+texts AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_concat(w[1:a], list_transform(
+        range(n - a), lambda i: w[a + i % (1 + (n - a) // (3 + g % 8)) + 1])) ELSE w END AS w
+    FROM placed
+), words AS (SELECT doc_id, n, w, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM texts),
+rows16 AS (SELECT doc_id, n, i, md5(array_to_string(w[i + 1:i + 16], ' ')) AS r FROM words WHERE i + 16 <= n),
+pairs AS (
+    SELECT a.doc_id, a.i, b.i - a.i AS period FROM rows16 a JOIN rows16 b
+        ON a.doc_id = b.doc_id AND a.r = b.r AND b.i > a.i AND 3 * (b.i - a.i) <= a.n
+), islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM pairs
+), stretches AS (
+    SELECT doc_id, min(i) AS start, count(*) + 15 + period AS length, period FROM islands
+    GROUP BY doc_id, period, island HAVING count(*) + 15 + period >= greatest(24, 3 * period)
+), found AS (SELECT doc_id, start, length, min(period) AS period FROM stretches GROUP BY doc_id, start, length),
+reports AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, E'\n'), '' ORDER BY start, period) AS lines
+    FROM found GROUP BY doc_id
+), best AS (
+    SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1
+), collapsed AS (
+    SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM words w WHERE NOT EXISTS (
+        SELECT 1 FROM found f WHERE f.doc_id = w.doc_id AND w.i >= f.start + f.period AND w.i < f.start + f.length)
+    GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+    period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM texts LEFT JOIN reports USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
+
+
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -248,5 +327,6 @@ QUERIES = {
     "op9_ngram_join": (near_documents, NEAR_DOCUMENTS_SQL),
     "op10_best_fit_packing": (packed_documents, None),
     "op11_importance_draw": (importance_draw, IMPORTANCE_SQL),
+    "op12_periodic_runs": (periodic, RUNS_SQL),
     "op13_repeated_passages": (repeated_passages, PASSAGES_SQL),
 }
