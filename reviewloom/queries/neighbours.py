@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from reviewloom.operators import vectors
 from reviewloom.queries.inputs import DOCUMENT_REVIEWS, documents, load, sql, table
 from reviewloom.queries.texts import tokens_sql
-from reviewloom.session import materialize
+from reviewloom.session import materialize, new_path
 from reviewloom.sources.collections import Collection, Spec, coerce, list_collections
+from reviewloom.sources.vector_index import VectorIndex
 
 DIM = 64
 PIVOTS, PROBES = 16, 4
@@ -171,7 +172,30 @@ def _catalog(spark, sf) -> DataFrame:
     )
 
 
+def _stored(spark, sf, cells: int, most: int | None, probes: int | None) -> DataFrame:
+    """An index of half of the vectors, the rest appended, perhaps split, searched from another session."""
+    e = table(spark, sf, "embeddings")
+    name = f"index_{uuid.uuid4().hex}"
+    made = VectorIndex(spark, name)
+    made.create(e.filter("vec_id % 2 = 0"), DIM, "vec_id", cells=cells)
+    made.append(e.filter("vec_id % 2 <> 0"), "vec_id")
+    if most:
+        while made.split(most):
+            pass
+    other = VectorIndex(spark.newSession(), name)
+    asked = table(other.spark, sf, "embeddings")
+    found, path = _rounded(other.search(asked, 5, probes, "vec_id")), new_path(spark, "found")
+    found.write.parquet(path)
+    made.drop()
+    return spark.read.schema(found.schema).parquet(path)
+
+
 QUERIES = {
+    "vector_index_search": (
+        lambda s, d: _stored(s, d, PIVOTS, None, PROBES),
+        APPROX.replace("FROM embeddings\n    ORDER BY", "FROM embeddings WHERE vec_id % 2 = 0\n    ORDER BY"),
+    ),
+    "vector_index_exact": (lambda s, d: _stored(s, d, 4, 100, None), EXACT),
     "nearest_vectors": (lambda s, d: _pairs(s, d), EXACT),
     "nearest_vectors_by_cells": (
         lambda s, d: _pairs(s, d, broadcast_bytes=0, pivots=PIVOTS),
