@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.operators import vectors
+from reviewloom.operators import text_index, vectors
 from reviewloom.queries.inputs import DOCUMENT_REVIEWS, documents, load, sql, table
 from reviewloom.queries.texts import tokens_sql
 from reviewloom.session import materialize, new_path
@@ -190,7 +190,30 @@ def _stored(spark, sf, cells: int, most: int | None, probes: int | None) -> Data
     return spark.read.schema(found.schema).parquet(path)
 
 
+def _ranked_texts(spark, sf) -> DataFrame:
+    """Questions against an index of all documents, in blocks small enough that there are several."""
+    path = new_path(spark, "text-index")
+    index = text_index.write_index(table(spark, sf, "documents"), path, "doc_id", "text", block_docs=64)
+    found = index.search(table(spark, sf, "benchmark"), 5, "item_id")
+    return found.select("qid", "id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+RANKED_TEXTS = f"""WITH lengths AS (SELECT doc_id AS id, coalesce(len({tokens_sql("text")}), 0) AS length FROM documents),
+  size AS (SELECT count(*) AS n, sum(length)::DOUBLE / count(*) AS mean FROM lengths),
+  times AS (SELECT id, term, count(*) AS times FROM (
+    SELECT doc_id AS id, unnest({tokens_sql("text")}) AS term FROM documents) GROUP BY ALL),
+  parts AS (SELECT id, term, floor(1000 * times * 2.2::DOUBLE / (times + 1.2::DOUBLE * (0.25::DOUBLE
+      + 0.75::DOUBLE * length / mean)))::BIGINT AS part FROM times JOIN lengths USING (id), size),
+  weights AS (SELECT term, floor(1000 * ln(1 + (n - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)))::BIGINT AS weight
+    FROM times, size GROUP BY term, n),
+  asked AS (SELECT DISTINCT item_id AS qid, unnest({tokens_sql("text")}) AS term FROM benchmark),
+  scored AS (SELECT qid, id, sum(weight * part)::BIGINT AS score FROM asked JOIN weights USING (term)
+    JOIN parts USING (term) WHERE weight > 0 GROUP BY ALL)
+  SELECT qid, id, score, rank FROM (SELECT *, row_number() OVER (
+    PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 5"""
+
 QUERIES = {
+    "ranked_texts": (_ranked_texts, RANKED_TEXTS),
     "vector_index_search": (
         lambda s, d: _stored(s, d, PIVOTS, None, PROBES),
         APPROX.replace("FROM embeddings\n    ORDER BY", "FROM embeddings WHERE vec_id % 2 = 0\n    ORDER BY"),
