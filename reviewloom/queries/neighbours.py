@@ -12,6 +12,8 @@ from reviewloom.queries.inputs import DOCUMENT_REVIEWS, documents, load, sql, ta
 from reviewloom.queries.texts import tokens_sql
 from reviewloom.session import materialize, new_path
 from reviewloom.sources.collections import Collection, Spec, coerce, list_collections
+from reviewloom.sources.footers import column_counts
+from reviewloom.sources.lookups import LookupTable
 from reviewloom.sources.vector_index import VectorIndex
 
 DIM = 64
@@ -190,6 +192,33 @@ def _stored(spark, sf, cells: int, most: int | None, probes: int | None) -> Data
     return spark.read.schema(found.schema).parquet(path)
 
 
+def _lookup_table(spark, sf) -> DataFrame:
+    """The same questions to a table laid out for lookups, in small pages."""
+    ids = table(spark, sf, "documents").select(F.lower(F.col("source")).alias("asked_id"))
+    laid = LookupTable(spark, f"lookup_{uuid.uuid4().hex}")
+    laid.create(load(spark, sf, DOCUMENT_REVIEWS), "asin", ["doc_id"], buckets=8, page=3)
+    found, path = laid.lookup(ids, "asked_id", 5).select("asked", "rank", "doc_id", "overall"), new_path(spark, "found")
+    found.write.parquet(path)
+    laid.drop()
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _footer_counts(spark, sf) -> DataFrame:
+    made = [
+        column_counts(spark, f"{sf}/{name}.parquet").withColumn("table", F.lit(name)) for name in ("documents", "embeddings")
+    ]
+    return made[0].union(made[1]).select("table", "column", "n_rows", "non_null")
+
+
+LOOKED_UP = f"""SELECT asin AS asked, rank, doc_id, overall FROM (SELECT *, row_number() OVER (
+  PARTITION BY asin ORDER BY doc_id) AS rank FROM {sql(DOCUMENT_REVIEWS)}) WHERE rank <= 5"""
+FOOTER_COUNTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS non_null FROM {t}"
+    for t, names in (("documents", "doc_id text lang source n_chars"), ("embeddings", "vec_id embedding label"))
+    for c in names.split()
+)
+
+
 def _ranked_texts(spark, sf) -> DataFrame:
     """Questions against an index of all documents, in blocks small enough that there are several."""
     path = new_path(spark, "text-index")
@@ -213,6 +242,8 @@ RANKED_TEXTS = f"""WITH lengths AS (SELECT doc_id AS id, coalesce(len({tokens_sq
     PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 5"""
 
 QUERIES = {
+    "lookup_table": (_lookup_table, LOOKED_UP),
+    "footer_counts": (_footer_counts, FOOTER_COUNTS),
     "ranked_texts": (_ranked_texts, RANKED_TEXTS),
     "vector_index_search": (
         lambda s, d: _stored(s, d, PIVOTS, None, PROBES),
@@ -242,8 +273,7 @@ QUERIES = {
     ),
     "lookup_by_id": (
         _lookup,
-        f"""SELECT asin AS asked, rank, doc_id, overall FROM (SELECT *, row_number() OVER (
-              PARTITION BY asin ORDER BY doc_id) AS rank FROM {sql(DOCUMENT_REVIEWS)}) WHERE rank <= 5""",
+        LOOKED_UP,
     ),
     "vector_statistics": (
         _stats,
