@@ -1,4 +1,4 @@
-"""Arrow batches: columns added to a frame, rows kept in it, runs of equal keys, a bounded cache."""
+"""Arrow batches: columns added to a frame, rows kept in it, runs of equal keys; a worker's model and cache."""
 
 from __future__ import annotations
 
@@ -9,6 +9,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_slot: list = [None, None]
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; batches of texts on their way to Python hold 8 MB, unless the session sets another size.
+
+    The usual 64 MB, times some copies on both sides and the tasks of an executor, are much beside
+    a model and its caches.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) is None:
+        conf.set(BATCH_BYTES, str(8 << 20))
+    return df
+
+
+def loaded(key, make: Callable):
+    """What ``make`` gives, kept for later tasks of this worker until another key is asked for.
+
+    All operators share the one place, so a worker holds one model however many operators run.
+    """
+    if _slot[0] != key:
+        _slot[:] = [None, None]  # the old one goes before the new one is made
+        _slot[:] = [key, make()]
+    return _slot[1]
+
+
 def add_columns(
     df: DataFrame, inputs: list[str], fields: list[StructField], make: Callable[[], Callable]
 ) -> DataFrame:
@@ -29,8 +56,10 @@ def add_columns(
         for b in batches:
             made = compute(*[b.column(i) for i in at])
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + made, names)
+            del b, made
+            pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def keep_rows(df: DataFrame, inputs: list[str], make: Callable[[], Callable]) -> DataFrame:
@@ -41,8 +70,10 @@ def keep_rows(df: DataFrame, inputs: list[str], make: Callable[[], Callable]) ->
         test = make()
         for b in batches:
             yield b.filter(pa.array(test(*[b.column(i) for i in at]), pa.bool_()))
+            del b
+            pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, df.schema)
+    return small_batches(df).mapInArrow(run, df.schema)
 
 
 def _index(df: DataFrame, name: str) -> int:

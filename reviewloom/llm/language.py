@@ -9,21 +9,20 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from reviewloom.llm.batches import add_columns, keep_rows
+from reviewloom.llm.batches import add_columns, keep_rows, loaded, small_batches
+from reviewloom.session import materialize
 
 WORDS = re.compile(r"[^\W\d_]+").findall
 LONGEST = 4  # characters of an n-gram
 TOGETHER = 50_000  # words of a text scored at once
-UNSEEN = 200_000  # unseen words whose scores a worker keeps
+UNSEEN, KEPT = 200_000, 48  # unseen words whose scores a worker keeps, and their most characters
 PIECE = 1 << 16  # places of a word looked at before sums are carried on
 COUNTED = 1 << 20  # counts that a learning task holds before it passes them on
 
-_loaded: dict[str, "Scorer"] = {}
-
 
 def _pieces(word: str) -> Iterable[tuple[str, int]]:
     """The whole padded word in pieces of at most ``PIECE`` places, each with the characters its last n-grams need."""
@@ -52,20 +51,21 @@ def fit(
     lang: str = "lang",
     key: str = "doc_id",
     rows: int = 2000,
-    languages: int = 256,
     size: int = 30_000,
 ) -> dict:
     """A model of word and n-gram log frequencies per language.
 
     Learns from a sample of about ``rows`` texts a language (all, if there are fewer), chosen by a
-    hash of the key, of the rows for which ``learn`` is true and whose language is known, and of
-    the ``languages`` most frequent ones. Keeps the ``size`` most frequent words and as many
-    n-grams of each length, so the model is bounded whatever the corpus.
+    hash of the key, of the rows for which ``learn`` is true and whose language is known. Keeps the
+    most frequent words, at most ``size``, and as many n-grams of each length (of items that occur
+    equally often all or none), so the model grows with the languages alone, not with the corpus.
+    Words without a letter are not learned. Repeated rows count as often as they occur; a very long
+    text counts whole; an empty table, or one without known languages, gives a model of nothing.
     """
     known = df.filter(learn & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key")
     )
-    numbers = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    numbers = known.groupBy("lang").count().collect()  # one row a language
     langs = sorted(r["lang"] for r in numbers)
     if not langs:
         return {"name": "", "langs": [], "items": {k: {} for k in range(LONGEST + 1)}, "logs": np.zeros((1, 0), np.float32)}
@@ -80,7 +80,8 @@ def fit(
             seen = Counter()
             for one, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for word, n in Counter(WORDS((t or "").lower())).items():
-                    seen[one, 0, word] += n
+                    if any(map(str.isalpha, word)):  # else a number that is no decimal one
+                        seen[one, 0, word] += n
             for (one, _, word), n in list(seen.items()):
                 for piece, places in _pieces(word):
                     for order in range(1, LONGEST + 1):
@@ -92,16 +93,25 @@ def fit(
             yield _counts(seen)
 
     counts = (
-        sample.select("lang", "text")
+        small_batches(sample.select("lang", "text"))
         .mapInArrow(run, "lang string, n_chars int, item string, n long")
         .groupBy("n_chars", "item")
-        .agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)])
+        .agg(
+            *[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)],
+            F.sum("n").alias("total"),
+        )
     )
-    total = sum((F.col(f"n{i}") for i in range(len(langs))), F.lit(0))
-    best = Window.partitionBy("n_chars").orderBy(total.desc(), "item")
-    kept = (
-        counts.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= size).drop("_rank")
-    ).toArrow()
+    counts = materialize(counts, "items")
+    # how many items occur how often: some thousands of rows, by which the least number to keep is found
+    often: dict[int, int] = {}
+    kept_items = Counter()
+    for r in sorted(counts.groupBy("n_chars", "total").count().collect(), key=lambda r: -r["total"]):
+        order = r["n_chars"]
+        kept_items[order] += r["count"]
+        if kept_items[order] <= size:
+            often[order] = r["total"]
+    least = F.create_map(*[F.lit(x) for item in often.items() for x in item]) if often else F.lit(None)
+    kept = counts.filter(F.col("total") >= F.try_element_at(least, F.col("n_chars")) if often else F.lit(False)).toArrow()
     n = np.stack([kept.column(f"n{i}").to_numpy() for i in range(len(langs))], 1).astype(float)
     orders, items = kept.column("n_chars").to_numpy(), kept.column("item").to_pylist()
     logs = np.zeros((len(items) + 1, len(langs)), np.float32)  # row 0: no letters, says nothing
@@ -180,16 +190,14 @@ class _Rows(dict):
 
     def __missing__(self, word: str) -> int:
         row = self.unseen(word)
-        self[word] = row
+        if len(word) <= KEPT:
+            self[word] = row
         return row
 
 
 def _scorer(sent) -> Scorer:
-    name = sent.value["name"]
-    if name not in _loaded:  # one per worker, so that its scores serve many tasks
-        _loaded.clear()
-        _loaded[name] = Scorer(sent.value)
-    return _loaded[name]
+    model = sent.value  # one scorer per worker, so that its scores serve many tasks
+    return loaded(("languages", model["name"]), lambda: Scorer(model))
 
 
 def identify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:

@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 from public_tokenizers import PATTERN
 
-from reviewloom.llm.batches import Cache, add_columns
-
-_loaded: dict[str, "Counts"] = {}
+from reviewloom.llm.batches import Cache, add_columns, loaded
 
 
 class Counts:
@@ -113,10 +111,7 @@ def count_tokens(
     key = sha256(content.encode()).hexdigest()
 
     def make():
-        if key not in _loaded:
-            _loaded.clear()
-            _loaded[key] = Counts(*sent.value)
-        count = _loaded[key].count
+        count = loaded(("token counts", key), lambda: Counts(*sent.value)).count
         return lambda texts: [
             pa.array([count(t) if t else 0 for t in texts.to_pylist()], pa.int64())
         ]
