@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.batches import runs
+from reviewloom.llm.batches import runs, small_batches
 from reviewloom.llm.components import components
 from reviewloom.llm.licenses import NORMAL
 from reviewloom.llm.near_vectors import Forest
 from reviewloom.session import materialize
 
-TOGETHER = 1 << 21  # bytes of text hashed at once
+TOGETHER = 1 << 18  # bytes of text hashed at once, or one longer text
+PIECE = 1 << 19  # bytes of a long text's words hashed at once
 MOST_HASHES = 128
 
 
@@ -66,11 +67,17 @@ class Shingles:
         text_starts = np.cumsum([0] + [len(t) + 2 for t in texts])
         first_word = np.searchsorted(starts, text_starts)
         if len(starts):
-            width = np.diff(np.append(starts, len(raw)))
-            at = np.arange(len(raw) - starts[0]) - np.repeat(starts - starts[0], width)
             power = self._power(int((ends - starts).max()) + 1)
-            value = self.byte[raw[starts[0] :]] * power[np.minimum(at, len(power) - 1)]
-            words = _mixed(np.add.reduceat(value, starts - starts[0]) + (ends - starts).astype(np.uint64))
+            words = np.empty(len(starts), np.uint64)
+            # a long text's words are hashed in pieces of some of its bytes
+            cuts = np.unique(np.searchsorted(starts, np.arange(starts[0], len(raw) + PIECE, PIECE)))
+            for a, z in zip(cuts[:-1], cuts[1:]):
+                first, last = starts[a], starts[z] if z < len(starts) else len(raw)
+                own = (starts[a:z] - first).astype(np.int32)
+                at = np.arange(last - first, dtype=np.int32) - np.repeat(own, np.diff(own, append=last - first))
+                value = self.byte[raw[first:last]] * power[np.minimum(at, len(power) - 1)]
+                words[a:z] = np.add.reduceat(value, own)
+            words = _mixed(words + (ends - starts).astype(np.uint64))
         else:
             words = np.zeros(0, np.uint64)
         n = self.n
@@ -161,7 +168,7 @@ def _signatures(docs: DataFrame, n: int, b: int, r: int) -> DataFrame:
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    made = docs.select(F.monotonically_increasing_id().alias("row"), "id", "text_key", "text").mapInArrow(
+    made = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), "id", "text_key", "text").mapInArrow(
         run, f"row long, id {kind}, text_key long, h1 long, h2 long, n long, bands array<long>, sketch binary"
     )
     return materialize(made, "signatures")
@@ -249,8 +256,10 @@ def _verify(least: float):
             here = np.zeros((len(rows), step), np.float32)
             here[owner[a:z], column[a:z] - part * step] = 1
             common += here @ here.T
-        common = common.astype(np.float64)
-        near = common / (sizes[:, None] + sizes[None, :] - common) >= least
+        near = np.empty(common.shape, bool)
+        for a in range(0, len(rows), 256):
+            part = common[a : a + 256].astype(np.float64)
+            near[a : a + 256] = part / (sizes[a : a + 256, None] + sizes[None, :] - part) >= least
         np.fill_diagonal(near, False)
         if i != j:  # pairs within a block are another group's
             near &= block[:, None] != block[None, :]
@@ -342,7 +351,7 @@ def join(
 
     sets = again.mapInArrow(grams, "row long, component long, weight long, grams binary")
     sizes = members.groupBy("component").agg(
-        F.ceil(F.greatest(F.count("*") / block, F.sum("n") / (block * 1024))).alias("n_blocks")
+        F.ceil(F.greatest(F.count("*") / block, F.sum("n") / (block * 512))).alias("n_blocks")
     )
     found = materialize(
         _in_blocks(sets.join(sizes, "component"), "component", "n_blocks", ["weight", "grams"])
