@@ -14,6 +14,7 @@ from reviewloom.session import materialize, new_path
 from reviewloom.sources.collections import Collection, Spec, coerce, list_collections
 from reviewloom.sources.footers import column_counts
 from reviewloom.sources.lookups import LookupTable
+from reviewloom.sources.upserts import KeyedCollection
 from reviewloom.sources.vector_index import VectorIndex
 
 DIM = 64
@@ -159,6 +160,23 @@ def _collection(spark, sf) -> DataFrame:
     return kept
 
 
+def _upserts(spark, sf) -> DataFrame:
+    """All rows loaded, a third of them changed by a load that runs twice, a few deleted."""
+    made = KeyedCollection(spark, f"keyed_{uuid.uuid4().hex}", "vec_id").create(SPEC, buckets=8)
+    rows = _objects(spark, sf)
+    made.write(rows, SPEC)
+    changed = rows.filter("vec_id % 3 = 0").withColumn("note", F.lit("changed"))
+    for _ in range(2):
+        made.write(changed.union(changed), SPEC)
+    made.delete(rows.filter("vec_id % 50 = 0"), "vec_id")
+    counts = made.read().groupBy("note").agg(
+        F.count("*").alias("objects"), F.count_distinct("vec_id").alias("ids"), F.count("overall").alias("rated")
+    )
+    kept = materialize(counts, "counts")
+    made.drop()
+    return kept
+
+
 def _catalog(spark, sf) -> DataFrame:
     """Two collections are made and filled, one is dropped; what the catalog then says of each."""
     names = [f"catalog_{uuid.uuid4().hex}" for _ in range(2)]
@@ -242,6 +260,12 @@ RANKED_TEXTS = f"""WITH lengths AS (SELECT doc_id AS id, coalesce(len({tokens_sq
     PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 5"""
 
 QUERIES = {
+    "collection_upserts": (
+        _upserts,
+        """SELECT note, count(*) AS objects, count(DISTINCT vec_id) AS ids, count(*) FILTER (label <> 0) AS rated
+           FROM (SELECT *, CASE WHEN vec_id % 3 = 0 THEN 'changed' ELSE label::VARCHAR END AS note FROM embeddings)
+           WHERE vec_id % 50 <> 0 GROUP BY note""",
+    ),
     "lookup_table": (_lookup_table, LOOKED_UP),
     "footer_counts": (_footer_counts, FOOTER_COUNTS),
     "ranked_texts": (_ranked_texts, RANKED_TEXTS),
