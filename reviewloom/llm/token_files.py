@@ -36,17 +36,16 @@ def write_token_files(
     of some keys or of the integer columns skip the rest.
 
     A null text counts as empty and gives the end id alone. Rows with a null key come first; rows
-    with equal keys are ordered by a hash of their text, and all stay. Other columns are not
-    written. An empty table gives files without rows.
+    with equal keys come in the order in which they are read, and all stay. Other columns are not
+    written. A very long text is one long list. An empty table gives files without rows.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         content = df.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([end_id], "<u4").tobytes()
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
-    # the row's place spreads a key that many rows share; equal texts give equal ids anyway
-    order = [F.col("doc_id"), F.xxhash64("_text"), F.monotonically_increasing_id()]
-    rows = rows.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order[1:])])
-    rows = rows.repartitionByRange("doc_id", "_o0", "_o1").sortWithinPartitions("doc_id", "_o0", "_o1")
+    # the row's place spreads a key that many rows share; the sample for the ranges reads no text
+    rows = rows.withColumn("_place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange("doc_id", "_place").sortWithinPartitions("doc_id", "_place")
 
     def make():
         encode = word_pieces(content.value).encode

@@ -6,10 +6,11 @@ import json
 import os
 import re
 import unicodedata
+from collections.abc import Iterable
 
 import numpy as np
 
-_loaded: dict[int, "WordPieces"] = {}
+from reviewloom.llm.batches import loaded
 
 
 def _class(kind: str) -> str:
@@ -22,8 +23,8 @@ UNUSUAL = re.compile("[^\x00-\u012f\u0131-\u02ff]")
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
-#: Entries of the cache, and characters of text split at once: bounds of a worker's memory.
-CACHED, TOGETHER = 400_000, 3_000_000
+#: Bytes of each of two generations of the cache, about, and characters of text split at once.
+ROOM, TOGETHER = 88 << 20, 3_000_000
 #: Bytes of a word from which on a wider matrix is used.
 WIDTHS = [*range(2, 16), 18, 22, 28, 40, 80]
 #: Characters of a word that is merged here; the library's queue is better for longer ones.
@@ -61,25 +62,36 @@ class WordPieces:
             f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+"
         ).findall
         self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def _new(self, parts: set[str]) -> set[str]:
+        """The parts in neither generation of the cache; those in the old one move to the young one."""
+        parts = parts.difference(self.ids)
+        known = [p for p in parts if p in self.old]
+        self._keep(known, map(self.old.__getitem__, known))
+        return parts.difference(known)
+
+    def _keep(self, parts: list[str], ids: Iterable[bytes]) -> None:
+        before = len(self.ids)
+        self.ids.update(zip(parts, ids))
+        # a word of n characters has n ids at most; a string, its ids and their entry take some 180 bytes besides
+        self.held += 180 * (len(self.ids) - before) + 3 * sum(map(len, parts))
 
     def _learn(self, parts: set[str]) -> None:
-        """Adds the ids of new parts, and of the words in them, to the cache.
-
-        A full cache is cut down to the parts at hand, which are mostly the frequent ones.
-        """
-        if len(self.ids) > CACHED:
-            self.ids = {p: self.ids[p] for p in parts & self.ids.keys()}
-        mixed = {p: self.find(p) for p in parts - self.ids.keys() if not p.isalpha()}
-        words = parts - mixed.keys()
-        words.update(*mixed.values())
-        words = words - self.ids.keys()
-        for word in [w for w in words if len(w) > LONGEST]:
-            words.remove(word)
-            self.ids[word] = self._library(word)
-        words = list(words)
-        self.ids.update(zip(words, self.pairs.merge([w.encode() for w in words])))
+        """Adds the ids of new parts, and of the words in them, to the cache, whose full generation becomes the old one."""
+        if self.held > ROOM:
+            self.ids, self.old, self.held = {}, self.ids, 0
+        parts = self._new(parts)
+        mixed = {p: self.find(p) for p in parts if not p.isalpha()}
+        words = parts.difference(mixed)
+        words |= self._new(set().union(*mixed.values()).difference(words))
+        long = [w for w in words if len(w) > LONGEST]
+        self._keep(long, map(self._library, long))
+        words = list(words.difference(long))
+        self._keep(words, self.pairs.merge([w.encode() for w in words]))
         get = self.ids.__getitem__
-        self.ids.update([(p, b"".join(map(get, ws))) for p, ws in mixed.items()])
+        self._keep(list(mixed), [b"".join(map(get, ws)) for ws in mixed.values()])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text counts as empty."""
@@ -181,8 +193,4 @@ class PairTable:
 
 def word_pieces(content: str) -> WordPieces:
     """One per worker, so that its caches serve many tasks."""
-    key = hash(content)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = WordPieces(content)
-    return _loaded[key]
+    return loaded(("word pieces", hash(content)), lambda: WordPieces(content))
