@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
@@ -109,6 +110,42 @@ FORMS = [
     ("(?:NAME)", None, 0.7),
 ]
 
+LATER = "of the licen[sc]e or at your option any later version"
+PUBLISHED = "as published by the free software foundation"
+
+#: Sentences of notices and license texts themselves: label, regex, keywords, score.
+NOTICES = [
+    ("gpl-2-or-later", f"gnu general public licen[sc]e {PUBLISHED} either version 2 {LATER}", ["foundation"], 1.0),
+    ("gpl-3-or-later", f"gnu general public licen[sc]e {PUBLISHED} either version 3 {LATER}", ["foundation"], 1.0),
+    ("lgpl-2.1-or-later", f"gnu lesser general public licen[sc]e {PUBLISHED} either version 2 1 {LATER}", ["lesser"], 1.0),
+    ("lgpl-3-or-later", f"gnu lesser general public licen[sc]e {PUBLISHED} either version 3 {LATER}", ["lesser"], 1.0),
+    ("agpl-3-or-later", f"gnu affero general public licen[sc]e {PUBLISHED} either version 3 {LATER}", ["affero"], 1.0),
+    ("gpl-2", f"gnu general public licen[sc]e (?:version 2 )?{PUBLISHED}(?: version 2)?(?: of the licen[sc]e)?(?! (?:either|version 3))", ["foundation"], 0.9),
+    ("apache-2", "licen[sc]ed under the apache licen[sc]e version 2 0 the licen[sc]e", ["apache"], 1.0),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis", ["applicable"], 0.9),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public licen[sc]e version 1 1", ["mozilla"], 1.0),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0", ["mozilla"], 1.0),
+    ("epl-2", "accompanying materials are made available under the terms of the eclipse public licen[sc]e (?:v|version )2 0", ["eclipse"], 1.0),
+    ("cddl", "subject to the terms of the common development and distribution licen[sc]e", ["development"], 1.0),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", ["advertising"], 0.95),
+    ("bsd-3", "neither the name of .{1,120}? nor the names of (?:its|their) contributors may be used to endorse or promote products derived from this software", ["endorse"], 0.95),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ["redistributions"], 0.9),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", ["redistributions"], 0.9),
+    ("boost", "granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[sc]e", ["organization"], 1.0),
+    ("zlib", "in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software", ["liable"], 0.95),
+    ("postgresql", "without fee and without a written agreement is hereby granted provided that the above copyright notice", ["fee"], 0.95),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ["unencumbered"], 1.0),
+    ("cc0", "has waived all copyright and related or neighbou?ring rights", ["waived"], 1.0),
+    ("cc", "you are free to share copy and redistribute the material in any medium or format", ["redistribute"], 0.8),
+    ("cc-by-sa", "if you remix transform or build upon the material you must distribute your contributions under the same licen[sc]e as the original", ["remix"], 0.85),
+    ("cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material", ["remix"], 0.85),
+    ("ofl", "this font software is licen[sc]ed under the sil open font licen[sc]e", ["font"], 1.0),
+    ("eula", "end user licen[sc]e agreement", ["agreement"], 0.9),
+    ("eula", "by installing copying or otherwise using (?:the|this) software(?: product)? you agree to be bound by the terms", ["installing"], 0.95),
+    ("eula", "you (?:may|shall|must) not reverse engineer decompile or disassemble", ["decompile"], 0.85),
+    ("proprietary", "unauthori[sz]ed copying of this file via any medium is strictly prohibited", ["prohibited"], 0.95),
+]
+
 #: Single rules: label, regex, keywords, score.
 SINGLE = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", ["granted"], 1.0),
@@ -147,8 +184,9 @@ def _rule(label: str, pattern: str, keywords: list[str], score: float) -> Rule:
 
 
 def rules() -> list[Rule]:
-    """Some 290 rules in order of priority: each form for each license, then the single ones."""
-    made = [
+    """Some 320 rules in order of priority: notices, each form for each license, then the single ones."""
+    made = [_rule(*r) for r in NOTICES]
+    made += [
         _rule(
             label,
             form.replace("NAME", name).replace("CODE", code),
@@ -184,26 +222,33 @@ class Scanner:
         if self.gate.isdisjoint(words):
             return len(words), []
         joined = b" " + b" ".join(words) + b" "
+        spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)  # the i-th stands before word i
         found = []
         for phrase, n, label in self.base:
             at = joined.find(phrase)
             while at >= 0:
-                start = joined.count(b" ", 0, at)
+                start = int(np.searchsorted(spaces, at))
                 found.append((label, start, start + n, 1.0, True))
                 at = joined.find(phrase, at + 1)
         present = self.by_keyword.keys() & set(words)
         ordered = sorted({i for word in present for i in self.by_keyword[word]})
-        kept: list[tuple[int, int]] = []
+        kept = np.zeros((0, 2), np.int64)  # accepted spans by start
+        reach = kept[:, 1]  # the furthest end so far
         for i in ordered:  # in order of priority: a place inside an accepted one adds nothing
             rule = self.rules[i]
-            for m in rule.pattern.finditer(joined, 1, len(joined) - 1):
-                a, z = m.span()
-                if any(x <= a and z <= y for x, y in kept):
-                    continue
-                kept.append((a, z))
-                start = joined.count(b" ", 0, a) - 1
-                n = joined.count(b" ", a, z) + 1
-                found.append((rule.label, start, start + n, rule.score, False))
+            spans = [m.span() for m in rule.pattern.finditer(joined, 1, len(joined) - 1)]
+            if not spans:
+                continue
+            own = np.array(spans, np.int64)
+            before = np.searchsorted(kept[:, 0], own[:, 0], side="right")
+            own = own[(before == 0) | (reach[before - 1] < own[:, 1])] if len(kept) else own
+            if not len(own):
+                continue
+            first, last = np.searchsorted(spaces, own[:, 0]) - 1, np.searchsorted(spaces, own[:, 1])
+            found += [(rule.label, x, y, rule.score, False) for x, y in zip(first.tolist(), last.tolist())]
+            kept = np.concatenate([kept, own])
+            kept = kept[np.argsort(kept[:, 0], kind="stable")]
+            reach = np.maximum.accumulate(kept[:, 1])
         return len(words), sorted(found, key=lambda d: (d[1], -d[2], d[0], not d[4]))
 
 
@@ -227,7 +272,8 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
     texts that hold one of their keywords, in order of priority; a detection inside an accepted one
     is dropped, equal spans included. Base phrases are always reported, all their places. The
     detections of a text are ordered by place. A null or empty text has 0 words and no detections.
-    Whole texts are read, without a shuffle; columns with the new names are replaced.
+    Whole texts are read, without a shuffle, in time that grows with the text and its detections;
+    repeated rows give equal results, an empty table none. Columns with the new names are replaced.
     """
 
     def make():
