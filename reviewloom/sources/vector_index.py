@@ -138,6 +138,7 @@ class VectorIndex:
         Only the rows of those cells are read. They are written to new cells first; one write to
         ``_cells`` then brings the new ones into force and gives the old ones up; their files go
         last. A crash before that write leaves the old cells in force, one after it unread files.
+        Copies of one vector cannot be divided: they stay in one cell, which a search cuts into blocks.
         """
         large = {r["cell"]: r["n"] for r in self.cells().filter(F.col("n") > most).collect()}
         if not large:
