@@ -49,7 +49,8 @@ class _Stored(V.Cells):
         if not table:
             table = [(-1, -1, 1)]
         places = self.rows.sparkSession.createDataFrame(table, "place int, cell bigint, blocks bigint")
-        read = self.rows.filter(F.col("cell").isin([c for _, c, _ in table]))
+        all_cells = len(table) == len(self.cell)  # a list of them says nothing that the rows in force do not
+        read = self.rows if all_cells else self.rows.filter(F.col("cell").isin([c for _, c, _ in table]))
         # one row a cell, whose number is bounded by the size of the pivots
         return read.join(F.broadcast(places), "cell").select(
             "id", "vec", F.col("place").alias("cell"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
