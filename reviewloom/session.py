@@ -6,10 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def session(app: str = "reviewloom", **conf: str) -> SparkSession:
@@ -52,6 +55,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run meanwhile go when it is done, not when the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -60,7 +77,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with cleaning(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
